@@ -1,0 +1,5 @@
+"""Intentionally empty: every input of this library is a batch table.
+
+Incremental work (encoding only what is new) is an anti-join against the stored
+catalogue, see :mod:`kindred.operators.encoding`.
+"""
