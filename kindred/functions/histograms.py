@@ -86,10 +86,9 @@ def day_night(histogram: Column) -> Column:
 
 
 def season_bucket(histogram: Column) -> Column:
-    """``AW`` when a cold season leads the seasons, else ``SS``."""
+    """``AW`` when a cold season leads, else ``SS``; null when no season has an entry."""
     leader = argmax_key(drop_keys(histogram, DAY_PART_KEYS))
-    cold = F.coalesce(leader.isin(*COLD_SEASONS), F.lit(False))
-    return F.when(histogram.isNotNull(), F.when(cold, "AW").otherwise("SS"))
+    return F.when(leader.isin(*COLD_SEASONS), "AW").when(leader.isNotNull(), "SS")
 
 
 def rename_map_keys(histogram: Column, old: str = " ", new: str = "_") -> Column:

@@ -66,7 +66,7 @@ def brand_key(brand: Column) -> Column:
 
 def fold_accents(text: Column) -> Column:
     """ASCII, lower-case spelling of Latin text, used to join brand names."""
-    folded = F.regexp_replace(F.translate(text, _ACCENTED, _PLAIN), "[̀-ͯ]", "")
+    folded = F.regexp_replace(F.translate(text, _ACCENTED, _PLAIN), r"[\u0300-\u036f]", "")
     for letter, spelling in LIGATURES.items():
         folded = F.replace(folded, F.lit(letter), F.lit(spelling))
     return F.lower(folded)
