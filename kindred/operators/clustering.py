@@ -218,7 +218,8 @@ def kmedoids_update(
 def farthest_first(points: DataFrame, count: int) -> list[tuple]:
     """``count`` seed points: the one with the smallest id hash, then always the farthest one.
 
-    One pass per seed; a batch returns only its farthest point.
+    One pass per seed; a batch returns only its farthest point. Fewer seeds come
+    back when there are fewer distinct points.
     """
     first = points.agg(
         F.min(F.struct(F.xxhash64("point_id").alias("hash"), "point_id", "vector")).alias("seed")
@@ -244,7 +245,7 @@ def farthest_first(points: DataFrame, count: int) -> list[tuple]:
             F.min(F.struct((-F.col("gap")).alias("order"), "point_id", "vector")).alias("pick")
         ).first()["pick"]
         if pick["order"] == 0:
-            raise ValueError(f"only {len(seeds)} distinct points for {count} clusters")
+            break
         seeds.append((pick["point_id"], pick["vector"]))
     return seeds
 
@@ -267,7 +268,8 @@ def kmedoids_fit(
     """Alternate assignment and medoid search for every k until no medoid moves.
 
     ``points`` are weighted points; they are materialised once. Seeds of a smaller
-    k are the first seeds of the largest.
+    k are the first seeds of the largest. A k above the number of distinct points
+    takes them all.
     """
     stored = materialise(points)
     seeds = farthest_first(stored, max(ks))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.operators.features import distinct_labels
-from kindred.operators.taxonomy import labelled
+from kindred.operators.taxonomy import labelled, labelled_array
 
 # The profile sections, in order, and the label column behind each.
 PROFILE_FEATURES = {
@@ -59,11 +59,7 @@ def _stack(members: DataFrame, labels: DataFrame, features: Mapping[str, str | C
     pairs = []
     for feature, source in features.items():
         if isinstance(source, str) and source in arrays:
-            pairs.append(
-                F.transform(
-                    F.col(source), lambda value, feature=feature: labelled(value, feature)
-                )
-            )
+            pairs.append(labelled_array(F.col(source), feature))
         else:
             column = F.col(source) if isinstance(source, str) else source
             pairs.append(F.array(labelled(column, feature)))

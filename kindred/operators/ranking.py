@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +22,6 @@ def weighted_score(weights: dict[str, float] = SCORE_WEIGHTS) -> Column:
 
 def weighted_score_udf(weights: dict[str, float] = SCORE_WEIGHTS) -> Callable[..., Column]:
     """The same score as an Arrow-batched Python function, for comparison."""
-    import pandas as pd
-
     factors = list(weights.values())
 
     @F.pandas_udf("float")

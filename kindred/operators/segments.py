@@ -18,7 +18,10 @@ from kindred.functions.histograms import (
 )
 from kindred.functions.text import cluster_label, cluster_relabel, fold_accents
 from kindred.operators.tables import notnull_filter
-from kindred.operators.taxonomy import note_levels, taxonomy_lookup
+from kindred.operators.taxonomy import labelled_array, note_levels, taxonomy_lookup
+
+# The note lists a product may have.
+NOTE_LISTS = ("top_notes", "middle_notes", "base_notes")
 
 
 def item_labels(
@@ -34,7 +37,8 @@ def item_labels(
     ``items`` has ``id, brand, for_gender, middle_notes`` and the histograms
     ``main_accords, season_rating, sillage, longevity``. Adds ``top_accord,
     accord_group, family, day_night, season, sillage_label, longevity_label,
-    note_groups`` and ``note_families`` (arrays, see ``note_levels``).
+    note_groups`` and ``note_families`` (arrays, see ``note_levels``); the note lists
+    themselves are passed on.
     ``merge_votes=False`` takes the winning sillage and longevity votes unmerged.
     """
     season = as_histogram(items, "season_rating")
@@ -47,6 +51,7 @@ def item_labels(
         "id",
         "brand",
         "for_gender",
+        *[name for name in NOTE_LISTS if name in items.columns],
         argmax_key(as_histogram(items, "main_accords")).alias("top_accord"),
         day_night(season).alias("day_night"),
         season_bucket(season).alias("season"),
@@ -65,18 +70,10 @@ def label_sets(labels: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = []
     for name in columns:
         values = F.col(name) if name in arrays else F.array(name)
-        pairs.append(
-            F.transform(
-                F.coalesce(values, F.array().cast("array<string>")),
-                lambda value, name=name: F.struct(
-                    F.lit(name).alias("dimension"), value.cast("string").alias("label")
-                ),
-            )
-        )
+        pairs.append(labelled_array(F.coalesce(values, F.array().cast("array<string>")), name))
     exploded = labels.select("id", F.explode(F.concat(*pairs)).alias("_pair"))
-    return exploded.select("_pair.dimension", "_pair.label", "id").where(
-        F.col("label").isNotNull()
-    ).distinct()
+    sets = exploded.select(F.col("_pair.feature").alias("dimension"), "_pair.label", "id")
+    return notnull_filter(sets, "label").distinct()
 
 
 def segment_combinations(labels: DataFrame) -> DataFrame:

@@ -51,10 +51,11 @@ def first_groups(taxonomy: DataFrame) -> DataFrame:
 def taxonomy_lookup(df: DataFrame, taxonomy: DataFrame, term: str, out: str) -> DataFrame:
     """Add the group of column ``term`` as ``out``; null when no group lists it."""
     lookup = first_groups(taxonomy).select(
-        F.col("term").alias("_term"), F.col("group").alias("_group")
+        F.col("term").alias("_lookup_term"), F.col("group").alias("_lookup_group")
     )
-    joined = df.join(lookup, F.col(term) == F.col("_term"), "left").drop("_term")
-    return joined.withColumn(out, F.col("_group")).drop("_group")
+    joined = df.join(lookup, F.col(term) == F.col("_lookup_term"), "left")
+    found = joined.withColumn(out, F.col("_lookup_group"))
+    return found.drop("_lookup_term", "_lookup_group")
 
 
 def compose(terms: DataFrame, families: DataFrame) -> DataFrame:
@@ -149,3 +150,8 @@ def note_levels(
 def labelled(column: Column, name: str) -> Column:
     """A ``(feature, label)`` struct, for stacking features into one long table."""
     return F.struct(F.lit(name).alias("feature"), column.cast("string").alias("label"))
+
+
+def labelled_array(values: Column, name: str) -> Column:
+    """Each element of an array as a ``(feature, label)`` struct."""
+    return F.transform(values, lambda value: labelled(value, name))

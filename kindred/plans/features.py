@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kindred.operators.clustering import (
     FINAL_K,
@@ -37,7 +38,8 @@ def scaled_features(
     texts = [field.name for field in filled.schema
              if field.name in kept and field.dataType.typeName() == "string"]
     numbers = literal_replace(filled, texts) if texts else filled
-    return standardize(numbers.select(id_col, *kept), kept)
+    doubles = [F.col(f"`{name}`").cast("double").alias(name) for name in kept]
+    return standardize(numbers.select(id_col, *doubles), kept)
 
 
 def cluster_pipeline(

@@ -15,6 +15,7 @@ from kindred.operators.profiles import (
 )
 from kindred.operators.ranking import multi_segment_rank, rank_join_back, sort_report
 from kindred.operators.segments import (
+    NOTE_LISTS,
     item_labels,
     relabel_members,
     rule_segments,
@@ -80,10 +81,10 @@ def representative_pipeline(
     modal = modal_label(profile_long(members, profiled))
     chosen = representative_items(members, labels, modal)
     flagged = representative_flag(members, chosen, global_flag)
+    lists = [name for name in NOTE_LISTS if name in labels.columns]
     described = labels.select(
-        "id", "family", "sillage_label", "longevity_label", "day_night", "note_groups"
+        "id", "family", "sillage_label", "longevity_label", "day_night", *lists
     )
-    notes = F.array_join(F.col("note_groups"), ", ")
     return flagged.join(described, "id", "left").select(
         "id",
         "brand",
@@ -93,7 +94,7 @@ def representative_pipeline(
         F.col("sillage_label").alias("sillage"),
         F.col("longevity_label").alias("longevity"),
         "day_night",
-        notes.alias("middle_notes"),
+        *lists,
         "rank",
     )
 
