@@ -28,7 +28,9 @@ def with_views(body: str) -> str:
     visit(body)
     if not ordered:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({SQL_VIEWS[n]})" for n in ordered) + "\n" + body
+    views = "WITH " + ",\n".join(f"{n} AS ({SQL_VIEWS[n]})" for n in ordered)
+    own = body.removeprefix("WITH ")
+    return f"{views}\n{body}" if own == body else f"{views},\n{own}"
 
 
 def query(key: str, sql: str | None = None):
