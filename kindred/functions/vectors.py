@@ -20,14 +20,6 @@ def norm(vector: Column) -> Column:
     return F.sqrt(total)
 
 
-def unit_vector(vector: Column) -> Column:
-    """``vector`` scaled to length one; the zero vector stays zero."""
-    return F.transform(
-        F.arrays_zip(vector.alias("x"), F.array_repeat(norm(vector), F.size(vector)).alias("n")),
-        lambda pair: F.coalesce(F.try_divide(pair["x"].cast("double"), pair["n"]), F.lit(0.0)),
-    )
-
-
 def cosine_similarity(left: Column, right: Column) -> Column:
     """Cosine of two vectors; 0 when either is the zero vector or missing."""
     return F.coalesce(F.try_divide(dot(left, right), norm(left) * norm(right)), F.lit(0.0))

@@ -96,8 +96,18 @@ def kmedoids_assign(vectors: DataFrame, medoids: Medoids) -> DataFrame:
     return vectors.select("point_id", "vector").mapInPandas(assign, schema)
 
 
-def _summaries(points: DataFrame, fits: Mapping[int, Medoids]) -> dict[tuple[int, int], tuple]:
-    """Per (k, label): weight, cost and mean vector. Batches are summed where they are read."""
+@dataclass(frozen=True)
+class Summary:
+    """Rows, weight, summed distance to the medoid and mean vector of one cluster."""
+
+    members: int
+    weight: float
+    cost: float
+    mean: list[float]
+
+
+def _summaries(points: DataFrame, fits: Mapping[int, Medoids]) -> dict[tuple[int, int], Summary]:
+    """Per (k, label): weight, cost, mean vector, rows. Batches are summed where they are read."""
 
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -113,40 +123,37 @@ def _summaries(points: DataFrame, fits: Mapping[int, Medoids]) -> dict[tuple[int
                         {
                             "k": [k],
                             "label": [label],
+                            "members": [mine.sum()],
                             "weight": [share.sum()],
                             "cost": [share @ distances[mine]],
                             "total": [share @ matrix[mine]],
                         }
                     )
 
-    schema = "k int, label int, weight double, cost double, total array<double>"
+    schema = "k int, label int, members bigint, weight double, cost double, total array<double>"
     sums = points.select("vector", "weight").mapInPandas(summarise, schema)
-    by_axis = sums.select("k", "label", "weight", "cost", F.posexplode("total").alias("axis", "x"))
+    scalars = ("members", "weight", "cost")
     rows = (
-        by_axis.groupBy("k", "label", "axis")
-        .agg(F.sum("weight").alias("weight"), F.sum("cost").alias("cost"), F.sum("x").alias("x"))
-        .groupBy("k", "label")
-        .agg(
-            F.first("weight").alias("weight"),
-            F.first("cost").alias("cost"),
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("axis", "x"))), lambda e: e["x"]
-            ).alias("total"),
-        )
+        sums.select("k", "label", *scalars, F.posexplode("total").alias("axis", "x"))
+        .groupBy("k", "label", "axis")
+        .agg(*[F.sum(name).alias(name) for name in scalars], F.sum("x").alias("x"))
         .collect()
     )
-    return {
-        (row["k"], row["label"]): (
-            row["weight"], row["cost"], np.array(row["total"]) / row["weight"]
+    summaries: dict[tuple[int, int], Summary] = {}
+    for row in sorted(rows, key=lambda row: row["axis"]):
+        summary = summaries.setdefault(
+            (row["k"], row["label"]), Summary(row["members"], row["weight"], row["cost"], [])
         )
-        for row in rows
-    }
+        summary.mean.append(row["x"] / row["weight"])
+    return summaries
 
 
 def _members(
-    points: DataFrame, fits: Mapping[int, Medoids], bounds: Mapping[tuple[int, int], tuple] | None
+    points: DataFrame,
+    fits: Mapping[int, Medoids],
+    summaries: Mapping[tuple[int, int], Summary] | None = None,
 ) -> DataFrame:
-    """Points with their (k, label). With ``bounds``, only those that can be a medoid."""
+    """Points with their (k, label). With ``summaries``, only those that can be a medoid."""
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -155,17 +162,14 @@ def _members(
             matrix = _matrix(batch["vector"])
             for k, medoids in fits.items():
                 labels, _ = medoids.nearest(matrix)
-                placed = batch.assign(k=k, label=labels)
-                if bounds is not None:
-                    centres = np.array([bounds.get((k, i), (0, 0, matrix[0]))[2]
-                                        for i in range(len(medoids.ids))])
-                    limits = np.array([
-                        bounds[k, i][1] / bounds[k, i][0] if (k, i) in bounds else 0.0
-                        for i in range(len(medoids.ids))
-                    ])
-                    away = np.sqrt(((matrix - centres[labels]) ** 2).sum(axis=1))
-                    placed = placed[away <= limits[labels] * (1 + 1e-9) + 1e-8]
-                yield placed
+                possible = np.ones(len(batch), dtype=bool)
+                for label in np.unique(labels) if summaries is not None else ():
+                    summary = summaries[k, label]
+                    mine = labels == label
+                    away = _distances(matrix[mine], np.array([summary.mean]))[:, 0]
+                    limit = summary.cost / summary.weight
+                    possible[mine] = away <= limit * (1 + 1e-9) + 1e-8
+                yield batch.assign(k=k, label=labels)[possible]
 
     kind = points.schema["point_id"].dataType.simpleString()
     schema = f"point_id {kind}, vector array<double>, weight double, k int, label int"
@@ -184,13 +188,16 @@ def _tile_costs(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataF
 
 
 def candidate_costs(
-    candidates: DataFrame, members: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS
+    candidates: DataFrame,
+    members: DataFrame,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """``(k, label, point_id, cost)``: summed distance of each candidate to its cluster."""
     kind = candidates.schema["point_id"].dataType.simpleString()
     partial = reduce_tiles(
         candidates, members, ["k", "label"], "point_id", "point_id", _tile_costs,
-        f"k int, label int, point_id {kind}, cost double", chunk_rows,
+        f"k int, label int, point_id {kind}, cost double", chunk_rows, sizes,
     )
     return partial.groupBy("k", "label", "point_id").agg(
         F.round(F.sum("cost"), DECIMALS - 3).alias("cost")
@@ -207,8 +214,13 @@ def kmedoids_update(
     than the current medoid's mean distance cannot win and is not tried. The rest
     are compared with all members in tiles. Ties go to the smaller id.
     """
-    bounds = _summaries(points, fits)
-    costs = candidate_costs(_members(points, fits, bounds), _members(points, fits, None), chunk_rows)
+    summaries = _summaries(points, fits)
+    sizes = points.sparkSession.createDataFrame(
+        [(k, label, each.members, each.members) for (k, label), each in summaries.items()],
+        "k int, label int, lefts bigint, rights bigint",
+    )
+    candidates, members = _members(points, fits, summaries), _members(points, fits)
+    costs = candidate_costs(candidates, members, chunk_rows, sizes)
     best = F.min(F.struct("cost", "point_id")).alias("_best")
     return costs.groupBy("k", "label").agg(best).select(
         "k", "label", "_best.point_id", "_best.cost"
@@ -290,8 +302,8 @@ def kmedoids_fit(
                 moved[k] = fits[k]
         active = moved
     costs: dict[int, float] = dict.fromkeys(ks, 0.0)
-    for (k, _label), (_weight, cost, _mean) in _summaries(stored, fits).items():
-        costs[k] += cost
+    for (k, _label), summary in _summaries(stored, fits).items():
+        costs[k] += summary.cost
     return {k: Fit(fits[k], costs[k], tuple(history[k])) for k in ks}
 
 

@@ -13,7 +13,6 @@ from kindred.functions.text import (
     jaccard_similarity,
     token_set,
 )
-from kindred.functions.vectors import unit_vector
 from kindred.operators.tiles import DEFAULT_CHUNK_ROWS, reduce_tiles
 
 # Fixed value: smallest cosine of a match.
@@ -33,17 +32,24 @@ def catalogue_side(
     drop_sizes: bool = False,
     match_blank: bool = True,
 ) -> DataFrame:
-    """The narrow view of a catalogue that matching needs: id, brand key, name, unit vector."""
+    """The narrow view of a catalogue that matching needs: id, brand key, name, vector."""
     cleaned = F.coalesce(clean_product_name(F.col(name), drop_sizes), F.lit(""))
     side = df.select(
         F.col(id_col).alias("id"),
         brand_key(F.col(brand)).alias("brand_key"),
         cleaned.alias("name_cleaned"),
-        unit_vector(F.col(vector)).alias("unit"),
-    ).where(F.col("unit").isNotNull())
+        F.col(vector).alias("vector"),
+    ).where(F.col("vector").isNotNull())
     return side if match_blank else side.where(F.col("brand_key") != "")
 
 
+def _unit_rows(vectors: pd.Series) -> np.ndarray:
+    """Vectors as rows of length one; the zero vector stays zero."""
+    rows = np.array(vectors.tolist(), dtype=np.float64)
+    lengths = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return np.divide(rows, lengths, out=np.zeros_like(rows), where=lengths > 0)
+
+
 def _nearest(threshold: float | None):
     """Tile reducer: the best partner of each left row, if it reaches the threshold."""
 
@@ -51,11 +57,11 @@ def _nearest(threshold: float | None):
         if left.empty or right.empty:
             return pd.DataFrame({"left_id": left["id"][:0], "right_id": right["id"][:0], "sim": []})
         right = right.sort_values("id", ignore_index=True)
-        partners = np.array(right["unit"].tolist(), dtype=np.float64)
+        partners = _unit_rows(right["vector"])
         found = []
         for start in range(0, len(left), _BLOCK_ROWS):
             block = left.iloc[start : start + _BLOCK_ROWS]
-            sims = np.round(np.array(block["unit"].tolist(), dtype=np.float64) @ partners.T, DECIMALS)
+            sims = np.round(_unit_rows(block["vector"]) @ partners.T, DECIMALS)
             best = sims.argmax(axis=1)  # first of equals, so the smallest id
             found.append(
                 pd.DataFrame(
@@ -95,8 +101,8 @@ def nearest_in_block(
         keys.append("token")
         left = left.withColumn("token", F.explode(token_set(F.col("name_cleaned"))))
         right = right.withColumn("token", F.explode(token_set(F.col("name_cleaned"))))
-    left = left.select("id", *keys, "unit")
-    right = right.groupBy(*keys, "unit").agg(F.min("id").alias("id"))
+    left = left.select("id", *keys, "vector")
+    right = right.groupBy(*keys, "vector").agg(F.min("id").alias("id"))
     ids = f"left_id {left.schema['id'].dataType.simpleString()}, " \
           f"right_id {right.schema['id'].dataType.simpleString()}"
     tiles = reduce_tiles(

@@ -25,18 +25,25 @@ def reduce_tiles(
     reducer: Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Apply ``reducer`` to every tile of every key that both sides have.
 
     Rows are placed in chunks by a hash of their id, which must be unique within a
-    key: a repeated or lost task rebuilds the same chunks.
+    key: a repeated or lost task rebuilds the same chunks. ``sizes`` (keys,
+    ``lefts``, ``rights``) saves counting the rows per key when they are known.
     """
-
-    def chunks(side: DataFrame, name: str) -> DataFrame:
-        rows = F.count(F.lit(1))
-        return side.groupBy(*keys).agg(F.ceil(rows / chunk_rows).cast("int").alias(name))
-
-    grid = chunks(left, "_lefts").join(chunks(right, "_rights"), list(keys))
+    if sizes is None:
+        # Counting the id keeps an aggregated side identical in both uses, so that
+        # Spark shuffles it once.
+        sizes = left.groupBy(*keys).agg(F.count(left_id).alias("lefts")).join(
+            right.groupBy(*keys).agg(F.count(right_id).alias("rights")), list(keys)
+        )
+    grid = sizes.select(
+        *keys,
+        F.ceil(F.col("lefts") / chunk_rows).cast("int").alias("_lefts"),
+        F.ceil(F.col("rights") / chunk_rows).cast("int").alias("_rights"),
+    )
 
     def spread(side: DataFrame, own: str, own_count: str, other: str, other_count: str, id_col: str):
         return (

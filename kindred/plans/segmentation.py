@@ -45,40 +45,33 @@ def label_items(items: DataFrame, taxonomies: Taxonomies, merge_votes: bool = Tr
     )
 
 
-def segment_pipeline(
-    items: DataFrame, taxonomies: Taxonomies, categories: DataFrame, relabel: bool = True
-) -> DataFrame:
-    """``(id, brand, cluster, category)``: rule segments with the brand's category."""
-    labels = label_items(items, taxonomies)
+def segment_pipeline(labels: DataFrame, categories: DataFrame, relabel: bool = True) -> DataFrame:
+    """``(id, brand, cluster, category)``: rule segments with the brand's category.
+
+    ``labels`` comes from :func:`label_items`. All steps from here on read it, so
+    materialise it first, as a table or with ``session.materialise``.
+    """
     members = segment_with_category(rule_segments(labels), labels, categories)
     return relabel_members(members) if relabel else members
 
 
-def profile_pipeline(
-    items: DataFrame, taxonomies: Taxonomies, categories: DataFrame
-) -> DataFrame:
+def profile_pipeline(members: DataFrame, labels: DataFrame) -> DataFrame:
     """All profiles of all segments, as ``(feature, label, cluster, n)``."""
-    return profile_long(
-        segment_pipeline(items, taxonomies, categories), label_items(items, taxonomies)
-    )
+    return profile_long(members, labels)
 
 
 def representative_pipeline(
-    items: DataFrame,
-    taxonomies: Taxonomies,
-    categories: DataFrame,
-    merge_votes: bool = True,
+    members: DataFrame,
+    labels: DataFrame,
+    profile: DataFrame,
     global_flag: bool = False,
 ) -> DataFrame:
     """Segment members with their labels and ``rank`` = 1 on representatives.
 
-    ``merge_votes=False`` takes profiles on merged votes but looks members up by
-    their unmerged sillage and longevity.
+    Pass labels made with ``merge_votes=False`` and a profile of merged labels to
+    look members up by their unmerged sillage and longevity.
     """
-    members = segment_pipeline(items, taxonomies, categories)
-    profiled = label_items(items, taxonomies)
-    labels = profiled if merge_votes else label_items(items, taxonomies, False)
-    modal = modal_label(profile_long(members, profiled))
+    modal = modal_label(profile)
     chosen = representative_items(members, labels, modal)
     flagged = representative_flag(members, chosen, global_flag)
     lists = [name for name in NOTE_LISTS if name in labels.columns]

@@ -218,12 +218,13 @@ def rule_segments(v: Views) -> DataFrame:
 
 @query("segment_with_category", "SELECT id, brand, cluster, category FROM v_categorised")
 def segment_with_category(v: Views) -> DataFrame:
-    return S.segment_with_category(S.rule_segments(v.labels), v.labels, v.categories)
+    labels = v.stored_labels
+    return S.segment_with_category(S.rule_segments(labels), labels, v.categories)
 
 
 @query("segment_pipeline", "SELECT id, brand, cluster, category FROM v_members")
 def segment_pipeline(v: Views) -> DataFrame:
-    return plans.segment_pipeline(v.items, v.taxonomies, v.categories)
+    return plans.segment_pipeline(v.stored_labels, v.categories)
 
 
 @query(
@@ -279,15 +280,9 @@ def sum_pivot(v: Views) -> DataFrame:
     return P.sum_pivot(lines, "label", "l_linestatus", "l_quantity")
 
 
-def _members(v: Views) -> DataFrame:
-    return S.relabel_members(
-        S.segment_with_category(S.rule_segments(v.labels), v.labels, v.categories)
-    )
-
-
 @query("profile_long", "SELECT feature, label, cluster, n FROM v_profile")
 def profile_long(v: Views) -> DataFrame:
-    return P.profile_long(_members(v), v.labels)
+    return P.profile_long(v.members, v.stored_labels)
 
 
 @query(
@@ -305,30 +300,28 @@ def profile_raw_terms(v: Views) -> DataFrame:
         "id", "middle_notes", H.present_keys(F.col("main_accords")).alias("present_accords"),
         H.argmax_key(F.col("main_accords")).alias("top_accord"),
     )
-    return P.profile_raw_terms(_members(v), terms)
+    return P.profile_raw_terms(v.members, terms)
 
 
 @query("drop_null_labels", "SELECT feature, label, cluster, n FROM v_profile WHERE label IS NOT NULL")
 def drop_null_labels(v: Views) -> DataFrame:
-    return P.drop_null_labels(P.profile_long(_members(v), v.labels))
+    return P.drop_null_labels(P.profile_long(v.members, v.stored_labels))
 
 
 @query("modal_label", "SELECT feature, cluster, label FROM v_modal")
 def modal_label(v: Views) -> DataFrame:
-    return P.modal_label(P.profile_long(_members(v), v.labels))
+    return P.modal_label(P.profile_long(v.members, v.stored_labels))
 
 
 @query("profile_pipeline", "SELECT feature, label, cluster, n FROM v_profile")
 def profile_pipeline(v: Views) -> DataFrame:
-    return plans.profile_pipeline(v.items, v.taxonomies, v.categories)
+    return plans.profile_pipeline(v.members, v.stored_labels)
 
 
 @query("representative_items", "SELECT id, cluster FROM v_representatives")
 def representative_items(v: Views) -> DataFrame:
-    members = _members(v)
-    return P.representative_items(
-        members, v.labels, P.modal_label(P.profile_long(members, v.labels))
-    )
+    modal = P.modal_label(P.profile_long(v.members, v.stored_labels))
+    return P.representative_items(v.members, v.stored_labels, modal)
 
 
 def _flag_sql(condition: str) -> str:
@@ -370,7 +363,8 @@ def representative_pipeline(v: Views) -> DataFrame:
 
 
 def _output(v: Views) -> DataFrame:
-    output = plans.representative_pipeline(v.items, v.taxonomies, v.categories)
+    profile = plans.profile_pipeline(v.members, v.stored_labels)
+    output = plans.representative_pipeline(v.members, v.stored_labels, profile)
     return output.withColumns({
         "middle_notes": F.array_join("middle_notes", ", "), "rank": F.col("rank").cast("bigint"),
     })

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from kindred.functions import histograms as H
 from kindred.operators import encoding as E
 from kindred.operators.profiles import profile_long
-from kindred.plans.segmentation import segment_pipeline
 from kindred.session import scratch_path
 from kindred.sources import readers as R
 from kindred.sources import sinks as S
@@ -176,9 +175,8 @@ def csv_sink(v: Views) -> DataFrame:
 
 @query("sectioned_profile_sink", "SELECT feature, label, cluster, n FROM v_profile")
 def sectioned_profile_sink(v: Views) -> DataFrame:
-    members = segment_pipeline(v.items, v.taxonomies, v.categories)
     path = scratch_path(v.spark, "profiles")
-    S.parquet_sink(profile_long(members, v.labels), path, ["feature"])
+    S.parquet_sink(profile_long(v.members, v.stored_labels), path, ["feature"])
     return R.parquet_scan(v.spark, path, ["feature", "label", "cluster", "n"])
 
 

@@ -200,7 +200,7 @@ def cluster_label(v: Views) -> DataFrame:
 def cluster_relabel(v: Views) -> DataFrame:
     from kindred.plans.segmentation import segment_pipeline
 
-    members = segment_pipeline(v.items, v.taxonomies, v.categories, relabel=False)
+    members = segment_pipeline(v.stored_labels, v.categories, relabel=False)
     return members.select("id", X.cluster_relabel(F.col("cluster")).alias("cluster"))
 
 

@@ -16,7 +16,8 @@ from kindred.operators.taxonomy import (
     ACCORD_FAMILIES,
     taxonomy_table,
 )
-from kindred.plans.segmentation import Taxonomies, label_items
+from kindred.plans.segmentation import Taxonomies, label_items, segment_pipeline
+from kindred.session import materialise
 
 VOTE_KEYS = ["click", "error", "purchase", "signup", "view"]
 ACCORDS = ["citrus", "leather", "musky", "oud", "rose", "vanilla", "zest"]
@@ -447,6 +448,16 @@ class Views:
         """Labels of every product."""
         return label_items(self.items, self.taxonomies)
 
+    @cached_property
+    def stored_labels(self) -> DataFrame:
+        """``labels`` written once, for plans that read them more than once."""
+        return materialise(self.labels)
+
+    @cached_property
+    def members(self) -> DataFrame:
+        """Segment members with category, written once."""
+        return materialise(segment_pipeline(self.stored_labels, self.categories))
+
     def _edges(self, sim) -> DataFrame:
         open_line = F.when(F.col("l_linestatus") == "O", 1.0).otherwise(0.0)
         return self.table("lineitem").select(
