@@ -291,11 +291,12 @@ def kmedoids_fit(
     for _ in range(max_iterations):
         if not active:
             break
-        winners = kmedoids_update(stored, active, chunk_rows)
-        rows = winners.join(stored.select("point_id", "vector"), "point_id").collect()
+        rows = kmedoids_update(stored, active, chunk_rows).collect()
+        chosen = stored.where(F.col("point_id").isin({row["point_id"] for row in rows}))
+        vectors = {row["point_id"]: row["vector"] for row in chosen.collect()}
         moved = {}
         for k, medoids in active.items():
-            found = [(row["point_id"], row["vector"]) for row in rows if row["k"] == k]
+            found = [(row["point_id"], vectors[row["point_id"]]) for row in rows if row["k"] == k]
             history[k].append(round(sum(row["cost"] for row in rows if row["k"] == k), 6))
             fits[k] = Medoids.of(found)
             if fits[k].ids != medoids.ids:

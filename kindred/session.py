@@ -53,12 +53,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the reliable checkpoint folder and read it from there.
+    """Write ``df`` once to the shared folder as parquet and read it from there.
 
-    Used where two branches of a plan must see the very same rows in the very same
-    partitions, and to keep loops from re-running their input.
+    Used where two branches of a plan must see the very same rows, to keep loops
+    from re-running their input, and for results that several later steps read by
+    different columns. Unlike a cache the files outlive lost executors, and their
+    size is known to the planner.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{shared_root(df.sparkSession)}/checkpoints")
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
