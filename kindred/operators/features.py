@@ -153,11 +153,16 @@ def season_features(df: DataFrame, id_col: str, histogram: str, keys: Sequence[s
 
 
 def zero_ratio(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Share of zeros (or nulls) per feature, as ``feature, zero_ratio``; one aggregation."""
-    shares = [
-        F.avg((F.coalesce(F.col(f"`{name}`"), F.lit(0)) == 0).cast("double")).alias(name)
-        for name in columns
-    ]
+    """Share of zeros (or nulls) per feature, as ``feature, zero_ratio``; one aggregation.
+
+    Text that is no number is not a zero.
+    """
+
+    def is_zero(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        return boolean_flag(value.isNull() | (value.try_cast("double") == 0))
+
+    shares = [F.avg(is_zero(name)).alias(name) for name in columns]
     pairs = F.array(
         *[
             F.struct(F.lit(name).alias("feature"), F.col(f"`{name}`").alias("zero_ratio"))
