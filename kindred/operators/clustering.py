@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.operators.tiles import DEFAULT_CHUNK_ROWS, reduce_tiles
-from kindred.session import materialise
+from kindred.session import local_table, materialise
 
 # The k sweep of the elbow curve and the final k.
 ELBOW_KS = tuple(range(1, 21))
@@ -215,7 +215,8 @@ def kmedoids_update(
     are compared with all members in tiles. Ties go to the smaller id.
     """
     summaries = _summaries(points, fits)
-    sizes = points.sparkSession.createDataFrame(
+    sizes = local_table(
+        points.sparkSession,
         [(k, label, each.members, each.members) for (k, label), each in summaries.items()],
         "k int, label int, lefts bigint, rights bigint",
     )
@@ -311,9 +312,8 @@ def kmedoids_fit(
 def elbow_inertia(points: DataFrame, ks: Sequence[int] = ELBOW_KS) -> DataFrame:
     """``(k, inertia)`` of a fit for every k."""
     fits = kmedoids_fit(points, ks)
-    return points.sparkSession.createDataFrame(
-        [(k, float(fit.inertia)) for k, fit in sorted(fits.items())], "k bigint, inertia double"
-    )
+    curve = [(k, float(fit.inertia)) for k, fit in sorted(fits.items())]
+    return local_table(points.sparkSession, curve, "k bigint, inertia double")
 
 
 def cluster_sizes(df: DataFrame, label: str) -> DataFrame:

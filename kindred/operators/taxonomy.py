@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.session import local_table
+
 SCHEMA = "taxonomy string, group string, group_pos int, term string"
 
 # The families that accord groups and note groups are gathered into.
@@ -40,7 +42,7 @@ def taxonomy_table(
         for position, (group, terms) in enumerate(groups.items())
         for term in terms
     ]
-    return spark.createDataFrame(rows, SCHEMA)
+    return local_table(spark, rows, SCHEMA)
 
 
 def first_groups(taxonomy: DataFrame) -> DataFrame:

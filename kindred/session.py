@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 _SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
@@ -52,6 +56,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A short list as a table whose size the planner knows.
+
+    Rows handed over as Arrow become a local relation, so that a join can broadcast
+    it by its size; a plain Python list would count as unboundedly large.
+    """
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
+    arrays = [
+        pa.array(column, type=to_arrow_type(field.dataType))
+        for column, field in zip(columns, fields, strict=True)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=fields.names), fields)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder as parquet and read it from there.
 

@@ -17,7 +17,7 @@ from kindred.operators.taxonomy import (
     taxonomy_table,
 )
 from kindred.plans.segmentation import Taxonomies, label_items, segment_pipeline
-from kindred.session import materialise
+from kindred.session import local_table, materialise
 
 VOTE_KEYS = ["click", "error", "purchase", "signup", "view"]
 ACCORDS = ["citrus", "leather", "musky", "oud", "rose", "vanilla", "zest"]
@@ -353,12 +353,12 @@ class Views:
     @cached_property
     def categories(self) -> DataFrame:
         """Brand -> category list."""
-        return self.spark.createDataFrame(CATEGORIES, "brand string, category string")
+        return local_table(self.spark, CATEGORIES, "brand string, category string")
 
     @cached_property
     def aliases(self) -> DataFrame:
         """Company -> brand list."""
-        return self.spark.createDataFrame(ALIASES, "company string, brand string")
+        return local_table(self.spark, ALIASES, "company string, brand string")
 
     @cached_property
     def left(self) -> DataFrame:
@@ -393,9 +393,14 @@ class Views:
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .select("s_suppkey", "n_name")
         )
-        month, tax = F.month("l_shipdate"), F.round(F.col("l_tax") * 100).cast("int")
-        discount, quantity = F.round(F.col("l_discount") * 100).cast("int"), F.col("l_quantity")
-        status, flag = F.col("l_linestatus"), F.col("l_returnflag")
+        lines = self.table("lineitem").select(
+            F.col("l_partkey").alias("id"), "l_suppkey", "l_linenumber", "l_linestatus",
+            "l_returnflag", "l_quantity", F.month("l_shipdate").alias("month"),
+            F.round(F.col("l_tax") * 100).cast("int").alias("tax"),
+            F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
+        )
+        month, tax, discount = F.col("month"), F.col("tax"), F.col("discount")
+        quantity, status, flag = F.col("l_quantity"), F.col("l_linestatus"), F.col("l_returnflag")
         conditions = {
             "main_accords": [F.col("l_linenumber") == number for number in range(1, 8)],
             "season_rating": [status == "O", month.isin(9, 10, 11), status == "F",
@@ -413,9 +418,8 @@ class Views:
             votes = F.array(*[F.nullif(F.count_if(test), F.lit(0)) for test in tests])
             histograms.append(F.map_from_arrays(keys, votes).alias(name))
         counted = (
-            self.table("lineitem")
-            .join(nations, F.col("l_suppkey") == F.col("s_suppkey"))
-            .groupBy(F.col("l_partkey").alias("id"))
+            lines.join(nations, F.col("l_suppkey") == F.col("s_suppkey"))
+            .groupBy("id")
             .agg(*histograms, F.sort_array(F.collect_set("n_name")).alias("middle_notes"))
         )
         parts = self.table("part").select(
@@ -424,6 +428,11 @@ class Views:
         )
         return counted.join(parts, "id")
 
+    @cached_property
+    def stored_items(self) -> DataFrame:
+        """``items`` as a stored table, read by several steps."""
+        return materialise(self.items)
+
     @cached_property
     def note_taxonomy(self) -> DataFrame:
         """Nations grouped by region; the nations of one region are left unmapped."""
@@ -446,7 +455,7 @@ class Views:
     @cached_property
     def labels(self) -> DataFrame:
         """Labels of every product."""
-        return label_items(self.items, self.taxonomies)
+        return label_items(self.stored_items, self.taxonomies)
 
     @cached_property
     def stored_labels(self) -> DataFrame:
