@@ -154,7 +154,7 @@ def encoding_scan(
         catalogue = catalogue.where(F.col("insert_time").between(*map(F.lit, time_range)))
     catalogue = catalogue.select(*keys)
     if wanted is not None:
-        catalogue = catalogue.join(wanted.select("id").distinct(), "id", "left_semi")
+        catalogue = catalogue.join(wanted.select("id"), "id", "left_semi")
     if latest_only:
         catalogue = latest_encoding(catalogue)
     return store.join(catalogue, keys, "left_semi")

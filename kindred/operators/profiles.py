@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.operators.features import distinct_labels
+from kindred.operators.skew import join_per_key
 from kindred.operators.taxonomy import labelled, labelled_array
 
 # The profile sections, in order, and the label column behind each.
@@ -130,7 +131,7 @@ def representative_items(members: DataFrame, labels: DataFrame, modal: DataFrame
         ]
     )
     arrays = {field.name for field in labels.schema if field.dataType.typeName() == "array"}
-    candidates = members.select("id", "cluster").distinct().join(wide, "cluster")
+    candidates = join_per_key(members.select("id", "cluster").distinct(), wide, ["cluster"])
     described = candidates.join(labels.select("id", *PROFILE_FEATURES.values()), "id")
     for feature, source in PROFILE_FEATURES.items():
         wanted = F.col(f"_modal_{feature}")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.operators.numbering import number_rows
+from kindred.operators.skew import join_per_key
 
 # The similarity columns of an edge and their weights.
 SCORE_WEIGHTS = {"bert_sim": 0.4, "accord_sim": 0.3, "season_sim": 0.1, "note_sim": 0.2}
@@ -75,8 +76,7 @@ def multi_segment_rank(
     """
     chosen = pick_representative(members, seed)
     pairs = (
-        members.select("id", "cluster").distinct()
-        .join(chosen, "cluster")
+        join_per_key(members.select("id", "cluster").distinct(), chosen, ["cluster"])
         .select(F.col("id").alias("source"), F.col("representative").alias("sim"), "cluster")
     )
     scores = edges.select("source", "sim", weighted_score().alias("weighted_score"))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kindred.operators.skew import join_per_key
+
 
 def normalize_columns(df: DataFrame) -> DataFrame:
     """Spaces in column names become underscores."""
@@ -118,11 +120,12 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column])
 def group_max_filter(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Rows that reach the largest value of their group; ties stay.
 
-    The maxima are aggregated map-side and joined back, so that a hot group is
-    split by the adaptive skew join instead of being sorted in one task.
+    The maxima are aggregated map-side and joined back, so a hot group is never
+    gathered or sorted in one task.
     """
     best = df.groupBy(*keys).agg(F.max(value).alias("_best"))
-    return df.join(best, list(keys)).where(F.col(value) == F.col("_best")).drop("_best")
+    tied = join_per_key(df, best, keys).where(F.col(value) == F.col("_best"))
+    return tied.select(*df.columns)
 
 
 def set_intersection_join(

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.operators.skew import join_per_key
 from kindred.session import local_table
 
 SCHEMA = "taxonomy string, group string, group_pos int, term string"
@@ -55,7 +56,9 @@ def taxonomy_lookup(df: DataFrame, taxonomy: DataFrame, term: str, out: str) ->
     lookup = first_groups(taxonomy).select(
         F.col("term").alias("_lookup_term"), F.col("group").alias("_lookup_group")
     )
-    joined = df.join(lookup, F.col(term) == F.col("_lookup_term"), "left")
+    joined = join_per_key(
+        df.withColumn("_lookup_term", F.col(term)), lookup, ["_lookup_term"], "left"
+    )
     found = joined.withColumn(out, F.col("_lookup_group"))
     return found.drop("_lookup_term", "_lookup_group")
 
@@ -93,7 +96,7 @@ def taxonomy_merge(first: DataFrame, second: DataFrame, name: str) -> DataFrame:
 def unmapped_terms(df: DataFrame, taxonomy: DataFrame, term: str) -> DataFrame:
     """Distinct terms of a column that no group lists; a null term counts as ``''``."""
     missing = df.select(F.col(term).alias("term")).join(
-        taxonomy.select("term").distinct(), "term", "left_anti"
+        taxonomy.select("term"), "term", "left_anti"
     )
     return missing.select(F.coalesce("term", F.lit("")).alias("term")).distinct()
 

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kindred.operators.skew import join_per_key
+
 DEFAULT_CHUNK_ROWS = 4096
 
 
@@ -47,7 +49,7 @@ def reduce_tiles(
 
     def spread(side: DataFrame, own: str, own_count: str, other: str, other_count: str, id_col: str):
         return (
-            side.join(grid, list(keys))
+            join_per_key(side, grid, keys)
             .withColumn(own, F.pmod(F.xxhash64(id_col), F.col(own_count)).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)))
             .drop(own_count, other_count)

@@ -42,3 +42,34 @@ def test_matching_shuffles_the_grouped_side_once(spark):
     df = QUERIES["match_pipeline"](spark, FOLDER)
     df.collect()
     assert "ReusedExchange" in executed_plan(df) or "AQEShuffleRead" in executed_plan(df)
+
+
+def test_hot_keys_are_split(spark):
+    """With thresholds scaled down, the join back to an aggregate is a skew join."""
+    from pyspark.sql import functions as F
+
+    from kindred.operators.skew import join_per_key
+
+    scaled = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key, None) for key in scaled}
+    try:
+        for key, value in scaled.items():
+            spark.conf.set(key, value)
+        rows = spark.range(0, 200_000, 1, 8).select(
+            F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+            F.md5(F.col("id").cast("string")).alias("x"),
+        )
+        sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        joined = join_per_key(rows, sizes, ["k"])
+        assert sum(row["n"] == 100_000 for row in joined.collect()) == 100_000
+        assert "skew=true" in executed_plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
