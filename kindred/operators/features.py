@@ -82,18 +82,18 @@ def multi_hot_grouped(
     array: str,
     taxonomy: DataFrame,
     groups: Sequence[str],
-    strict_reference: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """A 0/1 column per taxonomy group that the array's terms fall into.
 
-    By default 1 means that a term falls into the group. ``strict_reference``
+    By default 1 means that a term falls into the group. ``strict``
     multiplies the number of such terms by the length of the list and asks for
     more than 1, so that the only term of a product does not count.
     """
     exploded = df.select(id_col, F.explode_outer(array).alias("_term"))
     grouped = taxonomy_lookup(exploded, taxonomy, "_term", "_group")
     counts = [F.count_if(F.col("_group") == group) for group in groups]
-    if strict_reference:
+    if strict:
         flags = [boolean_flag(F.count(F.lit(1)) * count > 1) for count in counts]
     else:
         flags = [boolean_flag(count > 0) for count in counts]

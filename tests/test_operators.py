@@ -84,7 +84,7 @@ def test_multi_hot_plain_and_strict(spark, taxonomy):
     assert rows(plain, "id", "n_light", "n_warm") == [
         (1, 0, 0), (2, 0, 0), (3, 1, 0), (4, 0, 0), (5, 1, 0), (6, 1, 0), (7, 1, 1), (8, 0, 0),
     ]
-    strict = FE.multi_hot_grouped(df, "id", "n", taxonomy, ["light", "warm"], strict_reference=True)
+    strict = FE.multi_hot_grouped(df, "id", "n", taxonomy, ["light", "warm"], strict=True)
     assert rows(strict, "id", "n_light", "n_warm") == [
         (1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 0, 0), (5, 1, 0), (6, 1, 0), (7, 1, 1), (8, 0, 0),
     ]

@@ -82,7 +82,7 @@ def multi_hot_grouped(v: Views) -> DataFrame:
 @query("multi_hot_grouped_strict", _MULTI_HOT.format(left="count(*) * ", right=" > 1"))
 def multi_hot_grouped_strict(v: Views) -> DataFrame:
     hot = FE.multi_hot_grouped(
-        v.notes, "product_id", "notes", v.classes, list(CLASSES), strict_reference=True
+        v.notes, "product_id", "notes", v.classes, list(CLASSES), strict=True
     )
     return as_long(hot, ["product_id"])
 

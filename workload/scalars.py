@@ -222,11 +222,11 @@ def column_label_sanitize(v: Views) -> DataFrame:
 
 @query(
     "prefix_columns",
-    "SELECT product_id, name AS lc_name, brand AS lc_brand, price AS lc_price FROM v_catalog",
+    "SELECT product_id, name AS in_name, brand AS in_brand, price AS in_price FROM v_catalog",
 )
 def prefix_columns(v: Views) -> DataFrame:
     chosen = v.catalog.select("product_id", "name", "brand", "price")
-    return T.prefix_columns(chosen, "lc_", ["product_id"])
+    return T.prefix_columns(chosen, "in_", ["product_id"])
 
 
 _WEIGHTED_SQL = "SELECT source, sim, round(CAST(score AS DOUBLE), 6) AS score FROM v_scores"
@@ -264,13 +264,13 @@ def constant_column(v: Views) -> DataFrame:
 
 @query(
     "tidy_projection",
-    "SELECT product_id AS atg_code, brand AS brand_desc, name AS prod_desc_eng, class AS class_desc,"
+    "SELECT product_id AS item_code, brand AS brand_name, name AS title, class AS class_name,"
     " price AS price_hk FROM v_catalog",
 )
 def tidy_projection(v: Views) -> DataFrame:
     return T.tidy_projection(v.catalog, {
-        "product_id": "atg_code", "brand": "brand_desc", "name": "prod_desc_eng",
-        "class": "class_desc", "price": "price_hk",
+        "product_id": "item_code", "brand": "brand_name", "name": "title",
+        "class": "class_name", "price": "price_hk",
     })
 
 

@@ -387,14 +387,13 @@ class Views:
 
     @cached_property
     def items(self) -> DataFrame:
-        """Products with histograms and note list, counted in one pass over the lines."""
-        nations = (
-            self.table("supplier")
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", "n_name")
-        )
+        """Products with histograms and note list.
+
+        Votes and notes are aggregated apart, so that the many counters stay in a
+        hash aggregate; both come out partitioned by id and join without a shuffle.
+        """
         lines = self.table("lineitem").select(
-            F.col("l_partkey").alias("id"), "l_suppkey", "l_linenumber", "l_linestatus",
+            F.col("l_partkey").alias("id"), "l_linenumber", "l_linestatus",
             "l_returnflag", "l_quantity", F.month("l_shipdate").alias("month"),
             F.round(F.col("l_tax") * 100).cast("int").alias("tax"),
             F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
@@ -417,16 +416,23 @@ class Views:
             keys = F.array(*[F.lit(key) for key in _HISTOGRAMS[name][1]])
             votes = F.array(*[F.nullif(F.count_if(test), F.lit(0)) for test in tests])
             histograms.append(F.map_from_arrays(keys, votes).alias(name))
-        counted = (
-            lines.join(nations, F.col("l_suppkey") == F.col("s_suppkey"))
+        nations = (
+            self.table("supplier")
+            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .select("s_suppkey", "n_name")
+        )
+        notes = (
+            self.table("lineitem")
+            .select(F.col("l_partkey").alias("id"), "l_suppkey")
+            .join(nations, F.col("l_suppkey") == F.col("s_suppkey"))
             .groupBy("id")
-            .agg(*histograms, F.sort_array(F.collect_set("n_name")).alias("middle_notes"))
+            .agg(F.sort_array(F.collect_set("n_name")).alias("middle_notes"))
         )
         parts = self.table("part").select(
             F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"),
             F.lower("p_type").alias("for_gender"),
         )
-        return counted.join(parts, "id")
+        return lines.groupBy("id").agg(*histograms).join(notes, "id").join(parts, "id")
 
     @cached_property
     def stored_items(self) -> DataFrame:
