@@ -69,7 +69,8 @@ def fold_accents(text: Column) -> Column:
     folded = F.regexp_replace(F.translate(text, _ACCENTED, _PLAIN), r"[\u0300-\u036f]", "")
     for letter, spelling in LIGATURES.items():
         folded = F.replace(folded, F.lit(letter), F.lit(spelling))
-    return F.lower(folded)
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.lower(F.when(ascii_only, text).otherwise(folded))
 
 
 def asset_name(name: Column, url: Column) -> Column:

@@ -32,10 +32,11 @@ def catalogue_side(
     drop_sizes: bool = False,
     match_blank: bool = True,
 ) -> DataFrame:
-    """The narrow view of a catalogue that matching needs: id, brand key, name, vector."""
+    """The narrow view of a catalogue that matching needs: id, brand and its key, name, vector."""
     cleaned = F.coalesce(clean_product_name(F.col(name), drop_sizes), F.lit(""))
     side = df.select(
         F.col(id_col).alias("id"),
+        F.col(brand).alias("brand"),
         brand_key(F.col(brand)).alias("brand_key"),
         cleaned.alias("name_cleaned"),
         F.col(vector).alias("vector"),
@@ -120,10 +121,14 @@ def match_catalogues(
 ) -> DataFrame:
     """Best match per left product, with vector and name similarity.
 
-    Returns ``left_id, right_id, vector_sim, name_sim, left_name, right_name``.
+    Returns ``left_id, right_id, vector_sim, name_sim, left_brand, left_name, right_name``.
     """
     best = nearest_in_block(left, right, threshold, True, chunk_rows)
-    left_names = left.select(F.col("id").alias("left_id"), F.col("name_cleaned").alias("left_name"))
+    left_names = left.select(
+        F.col("id").alias("left_id"),
+        F.col("brand").alias("left_brand"),
+        F.col("name_cleaned").alias("left_name"),
+    )
     right_names = right.select(
         F.col("id").alias("right_id"), F.col("name_cleaned").alias("right_name")
     )
@@ -133,6 +138,7 @@ def match_catalogues(
         "right_id",
         F.col("sim").alias("vector_sim"),
         name_similarity(F.col("left_name"), F.col("right_name")).alias("name_sim"),
+        "left_brand",
         "left_name",
         "right_name",
     )

@@ -56,11 +56,9 @@ def match_pipeline(
         )
     left = catalogue_side(internal, "id", "brand", "name", "vector", True, match_blank)
     right = catalogue_side(branded, "id", "brand", "name", "vector", False, match_blank)
-    matched = match_catalogues(left, right, threshold)
-    details = internal.select(F.col("id").alias("left_id"), "brand")
-    return matched.join(details, "left_id").select(
+    return match_catalogues(left, right, threshold).select(
         F.col("left_id").alias("id"),
-        "brand",
+        F.col("left_brand").alias("brand"),
         F.col("left_name").alias("name_cleaned"),
         F.col("right_id").alias("match_id"),
         F.col("right_name").alias("match_name_cleaned"),

@@ -17,6 +17,7 @@ from kindred.plans.catalogue import catalog_pipeline as build_catalog
 from kindred.plans.catalogue import match_pipeline as match
 from kindred.plans.features import cluster_pipeline as cluster
 from kindred.plans.features import feature_pipeline as join_features
+from kindred.session import materialise
 from workload.registry import query
 from workload.relational import REGION_PIVOT_SQL, region_cells_as_long
 from workload.views import (
@@ -114,14 +115,17 @@ _PRICE_COLUMNS = ", ".join(
 _PRICE_NAMES = [key.replace(" ", "_") for key in PRICES]
 
 
-def _price_values(v: Views) -> DataFrame:
-    renamed = v.items.select("id", H.rename_map_keys(F.col("price_value")).alias("price_value"))
+def _price_values(items: DataFrame) -> DataFrame:
+    renamed = items.select("id", H.rename_map_keys(F.col("price_value")).alias("price_value"))
     return FE.price_value_features(renamed, "id", "price_value", _PRICE_NAMES)
 
 
 @query("price_value_features", f"SELECT id, {_PRICE_COLUMNS} FROM v_items")
 def price_value_features(v: Views) -> DataFrame:
-    shares = _price_values(v)
+    return _rounded(_price_values(v.items))
+
+
+def _rounded(shares: DataFrame) -> DataFrame:
     return shares.select("id", *[F.round(n, 6).alias(n) for n in shares.columns if n != "id"])
 
 
@@ -174,7 +178,7 @@ def standardize(v: Views) -> DataFrame:
     ) + " FROM v_note_groups GROUP BY id) USING (id)",
 )
 def feature_pipeline(v: Views) -> DataFrame:
-    items = v.items
+    items = v.stored_items
     gender = FE.one_hot(items, "id", "for_gender", prefix="gender_")
     notes = FE.multi_hot_grouped(
         items, "id", "middle_notes", v.taxonomies.notes, ["AFRICA", "AMERICA", "ASIA", "EUROPE"]
@@ -184,7 +188,7 @@ def feature_pipeline(v: Views) -> DataFrame:
         items, "id", "main_accords", list(ACCORD_GROUPS), taxonomy=v.taxonomies.accords
     )
     season = FE.season_features(items, "id", "season_rating", SEASONS)
-    price = price_value_features(v)
+    price = _rounded(_price_values(items))
     joined = join_features([season, price, longevity, accords, gender, notes], "id")
     return as_long(joined, ["id", *[name for name in price.columns if name != "id"]])
 
@@ -472,7 +476,7 @@ def sort_report(v: Views) -> DataFrame:
     " o.day_night, r.rank FROM v_output o JOIN ranks r USING (id, cluster)",
 )
 def rank_pipeline(v: Views) -> DataFrame:
-    output = _output(v).drop("middle_notes")
+    output = materialise(_output(v).drop("middle_notes"))
     return plans.rank_pipeline(output, v.item_edges, None)
 
 
@@ -585,9 +589,10 @@ def elbow_inertia(v: Views) -> DataFrame:
 
 @query("cluster_pipeline")
 def cluster_pipeline(v: Views) -> DataFrame:
+    items = v.stored_items
     accords = FE.argmax_one_hot(
-        v.items, "id", "main_accords", list(ACCORD_GROUPS), taxonomy=v.taxonomies.accords
+        items, "id", "main_accords", list(ACCORD_GROUPS), taxonomy=v.taxonomies.accords
     )
-    votes = FE.argmax_one_hot(v.items, "id", "longevity", _ARGMAX_LABELS, H.LONGEVITY_MERGES)
-    clustered = cluster(accords.join(votes, "id"), "id", wanted=v.labels.select("id"))
+    votes = FE.argmax_one_hot(items, "id", "longevity", _ARGMAX_LABELS, H.LONGEVITY_MERGES)
+    clustered = cluster(accords.join(votes, "id"), "id", wanted=items.select("id"))
     return clustered.select("point_id", "medoid_id", F.round("distance", 6).alias("distance"))
