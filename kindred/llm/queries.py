@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kindred.llm.byte_bpe import decode_ids, encode_texts
+from kindred.llm.packing import pack
 from kindred.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,7 +25,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in windows of 2048 tokens, best fit decreasing."""
+    pieces = pack(table(spark, folder, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every text by heap merging."""
     return token_counts(table(spark, folder, "documents"))
+
+
+@query
+def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Encode every text by recursive contraction, decode the identifiers, digest both."""
+    decoded = decode_ids(encode_texts(table(spark, folder, "documents")))
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
