@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kindred.llm.byte_bpe import decode_ids, encode_texts
 from kindred.llm.packing import pack
 from kindred.llm.token_counts import token_counts
+from kindred.llm.url_filter import ALLOW, BLOCK, HostRule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +36,59 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+URL_RULES = (
+    HostRule(ALLOW, "com", "/"),
+    HostRule(BLOCK, "example.com", "/en/"),
+    HostRule(ALLOW, "www.example.com", "/en/"),
+    HostRule(BLOCK, "net", "/es/"),
+    HostRule(BLOCK, "net", "/fr/"),
+)
+
+
+@query
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict of every page's URL."""
+    return judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+ORACLES["op4_url_filter"] = """
+WITH cut AS (
+    SELECT page_id,
+           CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END
+               AS rest
+    FROM pages
+), split AS (
+    SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
+           regexp_extract(rest, '^[^?#]*') AS both
+    FROM cut
+), named AS (
+    SELECT page_id,
+           translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           substr(both, length(raw) + 1) AS path
+    FROM split
+), ruled AS (
+    SELECT *, CASE
+        WHEN (host = 'www.example.com' OR suffix(host, '.www.example.com')) AND prefix(path, '/en/')
+            THEN 'www.example.com/en/'
+        WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/en/')
+            THEN 'example.com/en/'
+        WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/es/') THEN 'net/es/'
+        WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/fr/') THEN 'net/fr/'
+        WHEN (host = 'com' OR suffix(host, '.com')) AND prefix(path, '/') THEN 'com/'
+    END AS rule
+    FROM named
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN prefix(host || path, 'ads.') OR contains(host || path, '/cgi-bin/')
+        OR contains(host || path, '/wp-login.php') THEN 'block'
+    ELSE 'allow'
+END AS verdict
+FROM ruled
+"""
+
+
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every text by heap merging."""
