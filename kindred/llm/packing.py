@@ -24,8 +24,8 @@ from kindred.llm.slices import slices, texts_of
 
 #: Remainders and bytes of identifiers that a buffer holds at most (one longer document aside).
 BUFFER_ROWS, BUFFER_BYTES = 16_384, 24_000_000
-#: Text parts kept per worker process and generation; it bounds memory and changes no result.
-CACHE_ENTRIES = 400_000
+#: Parts and words kept per worker process; it bounds memory and changes no result.
+CACHE_ENTRIES = 300_000
 #: Characters of the longest part that is kept.
 LONGEST_KEPT = 64
 #: Text parts that one call of the tokenizer gets.
@@ -74,22 +74,29 @@ class OpenWindows:
 class Encoder:
     """Packed identifiers of texts, by the tokenizers library.
 
-    White space never belongs to a token, so the parts between white space are encoded
-    once and looked up afterwards; texts with special strings go to the library whole.
+    White space never belongs to a token: a text falls into parts between white space
+    and a part into words. The library encodes each new word once, many in a call; texts
+    with special strings go to the library whole.
     """
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.separator = "<|endoftext|>"
-        self.separator_id = self.tokenizer.token_to_id(self.separator)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.whole = Tokenizer.from_file(path)
+        self.vocabulary = wordpieces.load(path)
+        self.model = Tokenizer(self.whole.model)  # merges alone, for words already split
+        symbols = wordpieces.byte_symbols()
+        self.symbols = {byte: symbols[byte] for byte in range(256)}
+        self.ends = np.zeros(self.whole.get_vocab_size(), bool)
+        for token, number in self.whole.get_vocab().items():
+            self.ends[number] = token.endswith("</w>")
+        self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.split() if wordpieces.simple(text) else None for text in texts]
-        if len(self.known) >= CACHE_ENTRIES:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
+        if len(self.parts) >= CACHE_ENTRIES:
+            self.older_parts, self.parts = self.parts, {}
+        known, older = self.parts, self.older_parts
         missing = []
         for part in set().union(*(parts for parts in split if parts)).difference(known):
             value = older.get(part)
@@ -98,8 +105,7 @@ class Encoder:
             else:
                 known[part] = value
         for start in range(0, len(missing), PARTS_AT_ONCE):
-            parts = missing[start : start + PARTS_AT_ONCE]
-            known.update(zip(parts, self._parts(parts), strict=True))
+            self._learn(missing[start : start + PARTS_AT_ONCE])
         result = [
             self._whole(text) if parts is None else b"".join(map(known.__getitem__, parts))
             for text, parts in zip(texts, split, strict=True)
@@ -110,19 +116,29 @@ class Encoder:
         return result
 
     def _whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        ids = self.whole.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _parts(self, parts: list[str]) -> list[bytes]:
-        """One call for many parts: the separator's identifier tells where each ends."""
-        if self.separator_id is None:
-            return [self._whole(part) for part in parts]
-        text = self.separator.join(parts) + self.separator
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(ids == self.separator_id).tolist()
+    def _learn(self, parts: list[str]) -> None:
+        """Add ``parts`` to the known ones."""
+        split = [self.vocabulary.words(part) for part in parts]
+        if len(self.words) >= CACHE_ENTRIES:
+            self.words = {}
+        new = list(set().union(*split).difference(self.words))
+        mapped = [word.encode("utf-8").decode("latin-1").translate(self.symbols) for word in new]
+        ids = np.array(
+            self.model.encode_batch_fast([mapped], is_pretokenized=True, add_special_tokens=False)[0].ids,
+            "<u4",
+        ) if mapped else np.empty(0, "<u4")
         packed = ids.tobytes()
-        starts = [0, *(end + 1 for end in ends[:-1])]
-        return [packed[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        self.words.update(
+            (word, packed[a:b]) for word, a, b in zip(new, [0, *ends[:-1]], ends, strict=True)
+        )
+        of_word = self.words.__getitem__
+        self.parts.update(
+            (part, b"".join(map(of_word, words))) for part, words in zip(parts, split, strict=True)
+        )
 
 
 @lru_cache(maxsize=2)
