@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from kindred.llm.slices import map_slices, texts_of
 
 #: Words kept per worker process and generation; it bounds memory and changes no result.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 160_000
 #: Characters of the longest word that is kept.
 LONGEST_KEPT = 64
 #: Bytes of text, or of identifiers, that are worked on at a time.
-ENCODE_BYTES, DECODE_BYTES = 3_000_000, 2_000_000
+ENCODE_BYTES, DECODE_BYTES = 2_000_000, 2_000_000
 #: Words of a recursive query; bounds its rows.
-WORDS_AT_ONCE = 100_000
+WORDS_AT_ONCE = 25_000
 
 # A pair's score is its rank (17 bits), its place (34 bits) and the length of its left token
 # (12 bits): the smallest score of a word names the pair to contract and the row that goes.
@@ -91,7 +91,7 @@ class Codec:
         ]
         # one thread: Spark runs a worker per core; memory is bounded by the slices
         self.database = duckdb.connect(
-            ":memory:", config={"threads": 1, "temp_directory": "", "memory_limit": "400MB"}
+            ":memory:", config={"threads": 1, "temp_directory": "", "memory_limit": "250MB"}
         )
         self.database.execute(f"CREATE MACRO width() AS {width}::BIGINT")
         merges = pa.table({"pair": [p for p, _ in pairs], "rank": [r for _, r in pairs]})
