@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.llm import quality, toxicity
 from kindred.llm.byte_bpe import decode_ids, encode_texts
+from kindred.llm.folds import held_out
 from kindred.llm.packing import pack
 from kindred.llm.token_counts import token_counts
 from kindred.llm.url_filter import ALLOW, BLOCK, HostRule, judge_urls
@@ -26,6 +28,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every text, learned from positive and unlabelled texts."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in windows of 2048 tokens, best fit decreasing."""
@@ -59,12 +70,12 @@ WITH cut AS (
     FROM pages
 ), split AS (
     SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
-           regexp_extract(rest, '^[^?#]*') AS both
+           regexp_extract(rest, '^[^?#]*') AS upto
     FROM cut
 ), named AS (
     SELECT page_id,
            translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-           substr(both, length(raw) + 1) AS path
+           substr(upto, length(raw) + 1) AS path
     FROM split
 ), ruled AS (
     SELECT *, CASE
@@ -95,6 +106,15 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"))
 
 
+@query
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every text by quadratic discriminant analysis."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Encode every text by recursive contraction, decode the identifiers, digest both."""
