@@ -12,6 +12,7 @@ from kindred.llm.byte_bpe import decode_ids, encode_texts
 from kindred.llm.folds import held_out
 from kindred.llm.packing import pack
 from kindred.llm.token_counts import token_counts
+from kindred.llm.token_groups import jaccard_components
 from kindred.llm.url_filter import ALLOW, BLOCK, HostRule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose five-word shingle sets are similar."""
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 @query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every text, learned from positive and unlabelled texts."""
