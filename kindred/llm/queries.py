@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import quality, toxicity
+from kindred.llm import pii, quality, toxicity
 from kindred.llm.byte_bpe import decode_ids, encode_texts
 from kindred.llm.folds import held_out
 from kindred.llm.packing import pack
@@ -113,6 +113,23 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"))
 
 
+@query
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every text: base kinds, and secrets that the labelers agree on."""
+    docs = table(spark, folder, "documents")
+    found = pii.find_spans(docs, pii.train(docs))
+
+    def of(kind: str):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select(
+        "doc_id", *(F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in pii.BASE_KINDS),
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every text by quadratic discriminant analysis."""

@@ -39,10 +39,10 @@ PREFIXES = (4, 5)
 class Sample:
     """Bounds of the training sample, in texts."""
 
-    positives: int = 2_500
-    unlabelled: int = 7_500
+    positives: int = 2_000
+    unlabelled: int = 5_000
     #: labelled clean texts of the training folds, for the scale of the scores alone
-    calibration: int = 2_500
+    calibration: int = 2_000
 
 
 @dataclass(frozen=True)
