@@ -126,15 +126,17 @@ class Encoder:
             self.words = {}
         new = list(set().union(*split).difference(self.words))
         mapped = [word.encode("utf-8").decode("latin-1").translate(self.symbols) for word in new]
-        ids = np.array(
-            self.model.encode_batch_fast([mapped], is_pretokenized=True, add_special_tokens=False)[0].ids,
-            "<u4",
-        ) if mapped else np.empty(0, "<u4")
-        packed = ids.tobytes()
-        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-        self.words.update(
-            (word, packed[a:b]) for word, a, b in zip(new, [0, *ends[:-1]], ends, strict=True)
-        )
+        if mapped:
+            found = self.model.encode_batch_fast(
+                [mapped], is_pretokenized=True, add_special_tokens=False
+            )
+            ids = np.array(found[0].ids, "<u4")
+            packed = ids.tobytes()
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            starts = [0, *ends[:-1]]
+            self.words.update(
+                (word, packed[a:b]) for word, a, b in zip(new, starts, ends, strict=True)
+            )
         of_word = self.words.__getitem__
         self.parts.update(
             (part, b"".join(map(of_word, words))) for part, words in zip(parts, split, strict=True)
@@ -218,3 +220,24 @@ def pack(
         f"`{id_col}` {kind}, start bigint, length bigint, ids binary, doc_tokens bigint,"
         " sequence_id bigint, offset bigint",
     )
+
+
+def with_id_lists(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with the packed ``ids`` as an array of integers; the bytes are not copied."""
+    names = pieces.columns
+    at = names.index("ids")
+    fields = ", ".join(
+        f"`{f.name}` {'array<int>' if f.name == 'ids' else f.dataType.simpleString()}"
+        for f in pieces.schema
+    )
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = batch.column(at).to_pylist()
+            edges = np.cumsum([0, *(len(value) // 4 for value in packed)], dtype=np.int32)
+            values = np.frombuffer(b"".join(packed), "<i4")
+            columns = {name: batch.column(number) for number, name in enumerate(names)}
+            columns["ids"] = pa.ListArray.from_arrays(pa.array(edges), pa.array(values, pa.int32()))
+            yield pa.record_batch(columns)
+
+    return pieces.mapInArrow(task, fields)

@@ -93,6 +93,9 @@ def test_parts_equal_whole_texts():
     texts = ["".join(chance.choices(alphabet, k=chance.randint(0, 20))) for _ in range(2000)]
     wanted = [np.array(ids_of(text)[:-1], "<u4").tobytes() for text in texts]
     assert encoder.encode(texts) == wanted
+    assert encoder.encode(["a! b", "b a!"])[1] == np.array(ids_of("b a!")[:-1], "<u4").tobytes()
+    # a new part of words that are known already
+    assert encoder.encode(["ba!"])[0] and encoder.encode(["ba! !"])[0] and encoder.encode(["!ba"])[0]
 
 
 def test_query(spark):
