@@ -11,6 +11,7 @@ from kindred.llm import pii, quality, toxicity
 from kindred.llm.byte_bpe import decode_ids, encode_texts
 from kindred.llm.folds import held_out
 from kindred.llm.packing import pack
+from kindred.llm.posting_lists import nearest
 from kindred.llm.token_counts import token_counts
 from kindred.llm.token_groups import jaccard_components
 from kindred.llm.url_filter import ALLOW, BLOCK, HostRule, judge_urls
@@ -107,6 +108,12 @@ FROM ruled
 """
 
 
+@query
+def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector, by inner product."""
+    return nearest(table(spark, folder, "embeddings"))
+
+
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every text by heap merging."""
