@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kindred.llm import pii, quality, toxicity
 from kindred.llm.byte_bpe import decode_ids, encode_texts
 from kindred.llm.folds import held_out
+from kindred.llm.grid_order import near_duplicates
 from kindred.llm.packing import pack
 from kindred.llm.posting_lists import nearest
 from kindred.llm.token_counts import token_counts
@@ -114,6 +115,36 @@ def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"))
 
 
+@query
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of vectors of a label with cosine 0.93 and more."""
+    return near_duplicates(table(spark, folder, "embeddings"))
+
+
+# every pair of a label: for a check on small tables only
+ORACLES["op6_near_duplicates"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, x -> x <> 0)) > 0
+), links AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), component AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), counted AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM component LEFT JOIN counted USING (vec_id)
+"""
+
+
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every text by heap merging."""
