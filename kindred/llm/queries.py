@@ -124,10 +124,10 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 # every pair of a label: for a check on small tables only
 ORACLES["op6_near_duplicates"] = """
 WITH RECURSIVE v AS (
-    SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+    SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-        AND len(list_filter(embedding, x -> x <> 0)) > 0
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), links AS MATERIALIZED (
     SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
     WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93

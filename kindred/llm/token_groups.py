@@ -9,10 +9,12 @@ intersection is at least 75 times their union. The stages:
 3. Per set, the returned tokens are ordered by rising count. A partner must share one of
    the first ``size - needed + 1`` tokens of this order, of which the tokens that occur in
    no other set come first; most sets have no other token among these and leave.
-4. Sets that share such a token are compared with the smallest set that has it. The
-   links found give the groups: sets similar to each other.
+4. Sets that share such a token are compared with the set that leads it: the one whose
+   tokens are the most frequent. The links found give the groups: sets similar to each
+   other. Here and below the places of the shared token must leave room for the overlap
+   that the two sizes need.
 5. The matrix stores, for blocks of each group, the union of the tokens of its members.
-   A set whose first tokens meet a block of another group is a query to it. The number of
+   A set whose first tokens meet a block of a larger group is a query to it. The number of
    its tokens in the block's union bounds its overlap with every member, and only if
    that reaches what the threshold needs, the block is opened and members are compared.
    One link to a group is enough, since a group is linked already.
@@ -182,9 +184,10 @@ def _shared_tokens(dealt: DataFrame) -> DataFrame:
 
 
 def _lists(shared: DataFrame, similarity: int, parts: int) -> DataFrame:
-    """``set_id, n, tokens, first`` of the sets that may have a partner.
+    """``set_id, n, single, weight, tokens, first`` of the sets that may have a partner.
 
-    ``tokens`` are all shared tokens, sorted; ``first`` those that any partner must meet.
+    ``tokens`` are all shared tokens, sorted; ``first`` those that any partner must meet,
+    in order after the ``single`` ones; ``weight`` grows with the counts of the tokens.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -192,13 +195,15 @@ def _lists(shared: DataFrame, similarity: int, parts: int) -> DataFrame:
             table[name].to_numpy() for name in ("set_id", "token", "df", "n")
         )
         order = np.lexsort((token, df, owner))
-        owner, token, size = owner[order], token[order], size[order]
+        owner, token, size, df = owner[order], token[order], size[order], df[order]
         start = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
         count = np.diff(np.append(start, len(owner)))
         single = size[start] - count  # tokens of no other set come first in the order
         first = size[start] - _needed(size[start], similarity) + 1 - single
+        weight = (1000 * np.add.reduceat(np.log2(df), start) / size[start]).astype(np.int64)
         ids, sizes, tokens, firsts = [], [], [], []
-        for at in np.flatnonzero(first > 0).tolist():
+        left = np.flatnonzero(first > 0)
+        for at in left.tolist():
             own = token[start[at] : start[at] + count[at]]
             ids.append(owner[start[at]])
             sizes.append(size[start[at]])
@@ -207,13 +212,15 @@ def _lists(shared: DataFrame, similarity: int, parts: int) -> DataFrame:
         longs = pa.list_(pa.int64())
         return pa.table({
             "set_id": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int64()),
+            "single": pa.array(single[left], pa.int64()), "weight": pa.array(weight[left]),
             "tokens": pa.array(tokens, longs), "first": pa.array(firsts, longs),
         })
 
     return (
         shared.withColumn("part", F.pmod(F.xxhash64("set_id"), F.lit(parts)))
         .groupBy("part").applyInArrow(
-            run, "set_id bigint, n bigint, tokens array<bigint>, first array<bigint>"
+            run, "set_id bigint, n bigint, single bigint, weight bigint, tokens array<bigint>,"
+                 " first array<bigint>",
         )
     )
 
@@ -222,17 +229,37 @@ def _linked(similarity: int, own: str, other: str, shared) -> F.Column:
     return 100 * shared >= similarity * (F.col(own) + F.col(other) - shared)
 
 
+def _reach(similarity: int, place: str, n: str) -> F.Column:
+    """How far a token's place leaves room for an overlap; see ``_may_share``."""
+    return (100 + similarity) * F.col(place) - 100 * F.col(n)
+
+
+def _may_share(similarity: int, reach: str, partner_n) -> F.Column:
+    """Whether a token at this reach can be the first that two linked sets share.
+
+    Linked sets of sizes n and m share ceil(s (n + m) / (100 + s)) tokens or more. The first
+    shared one, at place p of the n, leaves n - p + 1 tokens, which must suffice.
+    """
+    return F.col(reach) <= (100 + similarity) - similarity * partner_n
+
+
 def _leader_links(lists: DataFrame, first: DataFrame, similarity: int) -> DataFrame:
-    """Links ``a, b`` of sets to the smallest set that shares one of their first tokens."""
+    """Links ``a, b`` of sets to the weightiest set that shares one of their first tokens.
+
+    A heavy set has tokens that many sets have: it is likely to be what others were made of.
+    """
     leaders = first.groupBy("token").agg(
-        F.min(F.struct("set_id", "n")).alias("leader"), F.count("*").alias("held")
+        F.max(F.struct("weight", "set_id", "n", "reach")).alias("leader"), F.count("*").alias("held")
     ).where("held > 1").select(
-        "token", F.col("leader.set_id").alias("leader"), F.col("leader.n").alias("leader_n")
+        "token", F.col("leader.set_id").alias("leader"), F.col("leader.n").alias("leader_n"),
+        F.col("leader.reach").alias("leader_reach"),
     )
     pairs = (
         join_per_key(first, leaders, ["token"])
         .where("set_id <> leader")
         .where(100 * F.least("n", "leader_n") >= similarity * F.greatest("n", "leader_n"))
+        .where(_may_share(similarity, "reach", F.col("leader_n")))
+        .where(_may_share(similarity, "leader_reach", F.col("n")))
         .select("set_id", "leader").distinct()
     )
     own = lists.select("set_id", "n", "tokens")
@@ -287,31 +314,33 @@ def _group_links(
         .select("set_id", "n", F.coalesce("component", "set_id").alias("group"))
     )
     sizes = grouped.groupBy("group").agg(F.count("*").alias("members"))
-    placed = join_per_key(grouped, sizes, ["group"]).select(
-        "set_id", "n", "group",
+    placed = materialise(join_per_key(grouped, sizes, ["group"]).select(
+        "set_id", "n", "group", "members",
         F.pmod(F.xxhash64("set_id"), F.ceil(F.col("members") / BLOCK_MEMBERS)).alias("block"),
-    )
-    placed = materialise(placed)
-    tokens = join_per_key(
-        first.select("set_id", "token"), placed, ["set_id"]
-    ).select("token", "set_id", "n", "group", "block")
+    ))
+    tokens = join_per_key(first.select("set_id", "token", "reach"), placed, ["set_id"])
     # a token whose sets are all in one group leads nowhere new
     spread = tokens.groupBy("token").agg(
         F.min("group").alias("lowest"), F.max("group").alias("highest")
     ).where("lowest <> highest").select("token")
     tokens = materialise(join_per_key(tokens, spread, ["token"]))
-    matrix = tokens.groupBy("token", "group", "block").agg(
-        F.min("n").alias("least_n"), F.max("n").alias("most_n")
+    matrix = tokens.groupBy("token", "group", "members", "block").agg(
+        F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.min("reach").alias("least_reach")
     )
-    queries = (
-        tokens.select("token", "set_id", "n", F.col("group").alias("own"))
+    # of two groups the smaller one asks the larger one
+    least_partner = F.greatest(F.col("least_n"), F.ceil(similarity * F.col("n") / 100))
+    queries = materialise(
+        tokens.select(
+            "token", "set_id", "n", "reach", F.struct("members", "group").alias("own")
+        )
         .join(matrix, "token")
-        .where("own <> group")
+        .where(F.col("own") < F.struct("members", "group"))
         .where((100 * F.col("most_n") >= similarity * F.col("n"))
                & (100 * F.col("n") >= similarity * F.col("least_n")))
+        .where(_may_share(similarity, "reach", least_partner))
+        .where(_may_share(similarity, "least_reach", F.col("n")))
         .select("set_id", "group", "block").distinct()
     )
-    queries = materialise(queries)
     chunks = queries.groupBy("group", "block").agg(
         F.ceil(F.count("*") / BLOCK_QUERIES).alias("chunks")
     )
@@ -362,7 +391,11 @@ def jaccard_components(
     buckets = max(partitions, total // BUCKET_TOKENS + 1)
     shared = _shared_tokens(_dealt(docs, text_col, width, buckets))
     lists = materialise(_lists(shared, similarity, buckets))
-    first = materialise(lists.select("set_id", "n", F.explode("first").alias("token")))
+    first = lists.select("set_id", "n", "single", "weight", F.posexplode("first").alias("at", "token"))
+    first = materialise(
+        first.withColumn("place", F.col("single") + F.col("at") + 1)
+        .select("set_id", "n", "weight", "token", _reach(similarity, "place", "n").alias("reach"))
+    )
     leader_links = materialise(_leader_links(lists, first, similarity))
     groups = materialise(connected_components(leader_links))
     links = leader_links.unionByName(_group_links(lists, first, groups, similarity))
