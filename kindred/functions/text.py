@@ -79,14 +79,27 @@ def asset_name(name: Column, url: Column) -> Column:
     return F.concat(F.translate(name, " /", "__"), F.lit("__"), segment, F.lit(".jpg"))
 
 
+# Fixed value: how the pictures of internal products are named.
+ASSET_SUFFIX = "_in_xl.jpg"
+
+
 def asset_of_id(product_id: Column) -> Column:
     """Picture name under which an internal product's vector is stored."""
-    return F.concat(product_id, F.lit("_in_xl.jpg"))
+    return F.concat(product_id, F.lit(ASSET_SUFFIX))
 
 
 def id_of_asset(asset: Column) -> Column:
-    """Product id (six characters) in a picture name."""
-    return F.substring(asset, 1, 6)
+    """Product id in a picture name: what stands before the suffix, whatever its length."""
+    return F.when(
+        F.endswith(asset, F.lit(ASSET_SUFFIX)),
+        F.left(asset, F.length(asset) - len(ASSET_SUFFIX)),
+    ).otherwise(asset)
+
+
+def padded_code(number: Column, width: int = 6) -> Column:
+    """A number as a code of at least ``width`` digits; longer ones are not cut."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
 def asset_path(product_id: Column, root: str, pos: str = "in", size: str = "xl") -> Column:

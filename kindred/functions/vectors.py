@@ -23,13 +23,3 @@ def norm(vector: Column) -> Column:
 def cosine_similarity(left: Column, right: Column) -> Column:
     """Cosine of two vectors; 0 when either is the zero vector or missing."""
     return F.coalesce(F.try_divide(dot(left, right), norm(left) * norm(right)), F.lit(0.0))
-
-
-def euclidean(left: Column, right: Column) -> Column:
-    """Straight-line distance of two vectors."""
-    squares = F.zip_with(
-        left,
-        right,
-        lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")),
-    )
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, value: total + value))

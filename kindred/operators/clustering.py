@@ -270,28 +270,31 @@ class Fit:
     medoids: Medoids
     inertia: float
     history: tuple[float, ...]
+    converged: bool = True
 
 
 def kmedoids_fit(
     points: DataFrame,
     ks: Sequence[int] = (FINAL_K,),
-    max_iterations: int = 300,
+    max_iterations: int | None = None,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> dict[int, Fit]:
     """Alternate assignment and medoid search for every k until no medoid moves.
 
     ``points`` are weighted points; they are materialised once. Seeds of a smaller
     k are the first seeds of the largest. A k above the number of distinct points
-    takes them all.
+    takes them all. A fit also ends when its cost no longer falls, so equal costs cannot
+    make it alternate for ever. ``max_iterations`` is for callers who accept a fit that has
+    not converged; ``Fit.converged`` tells.
     """
     stored = materialise(points)
     seeds = farthest_first(stored, max(ks))
     fits = {k: Medoids.of(seeds[:k]) for k in ks}
     history: dict[int, list[float]] = {k: [] for k in ks}
     active = dict(fits)
-    for _ in range(max_iterations):
-        if not active:
-            break
+    done = 0
+    while active and (max_iterations is None or done < max_iterations):
+        done += 1
         rows = kmedoids_update(stored, active, chunk_rows).collect()
         chosen = stored.where(F.col("point_id").isin({row["point_id"] for row in rows}))
         vectors = {row["point_id"]: row["vector"] for row in chosen.collect()}
@@ -300,13 +303,14 @@ def kmedoids_fit(
             found = [(row["point_id"], vectors[row["point_id"]]) for row in rows if row["k"] == k]
             history[k].append(round(sum(row["cost"] for row in rows if row["k"] == k), 6))
             fits[k] = Medoids.of(found)
-            if fits[k].ids != medoids.ids:
+            falls = len(history[k]) < 2 or history[k][-1] < history[k][-2]
+            if fits[k].ids != medoids.ids and falls:
                 moved[k] = fits[k]
         active = moved
     costs: dict[int, float] = dict.fromkeys(ks, 0.0)
     for (k, _label), summary in _summaries(stored, fits).items():
         costs[k] += summary.cost
-    return {k: Fit(fits[k], costs[k], tuple(history[k])) for k in ks}
+    return {k: Fit(fits[k], costs[k], tuple(history[k]), k not in active) for k in ks}
 
 
 def elbow_inertia(points: DataFrame, ks: Sequence[int] = ELBOW_KS) -> DataFrame:

@@ -7,8 +7,10 @@ an id is the one in the highest part, then at the highest position.
 
 from __future__ import annotations
 
+import hashlib
 from abc import ABC, abstractmethod
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
@@ -23,6 +25,8 @@ from kindred.session import materialise
 # Batch and part sizes used when none are given.
 BATCH_SIZE = 256
 PART_SIZE = 2000
+# Tokens whose place a task keeps; it bounds memory and changes no result.
+TOKENS_KEPT = 500_000
 # Consecutive parts kept in one folder: folders stay few while parts stay small.
 PARTS_PER_FOLDER = 256
 
@@ -39,17 +43,35 @@ class Encoder(ABC):
         """Vectors of a batch, shape (len(data), dimension)."""
 
 
-class DigestEncoder(Encoder):
-    """Deterministic stand-in for a model: the 16 bytes of a text's MD5, scaled to 0..1."""
+@dataclass(frozen=True)
+class HashingEncoder(Encoder):
+    """Counts of a text's tokens, hashed to ``dimension`` places.
 
-    def init_model(self) -> Callable[[bytes], Any]:
-        import hashlib
-
-        return hashlib.md5
+    Tokens stand between ``separator``; a token's place is the number in the first four
+    hexadecimal digits of its MD5, modulo the dimension. Null is a text without tokens.
+    """
 
-    def batch_predict(self, model: Callable[[bytes], Any], data: pd.Series) -> np.ndarray:
-        digests = [np.frombuffer(model(text.encode()).digest(), np.uint8) for text in data]
-        return np.array(digests, dtype=np.float64) / 255.0
+    dimension: int = 64
+    separator: str = " "
+
+    def init_model(self) -> dict[str, int]:
+        """Places of the tokens met so far."""
+        return {}
+
+    def batch_predict(self, model: dict[str, int], data: pd.Series) -> np.ndarray:
+        split = [(text or "").split(self.separator) for text in data]
+        tokens = [token for parts in split for token in parts if token]
+        rows = np.repeat(np.arange(len(split)), [sum(map(bool, parts)) for parts in split])
+        names, which = np.unique(np.array(tokens, dtype=object), return_inverse=True)
+        if len(model) > TOKENS_KEPT:
+            model.clear()
+        for name in names:
+            if name not in model:
+                digest = hashlib.md5(name.encode(), usedforsecurity=False).digest()
+                model[name] = int.from_bytes(digest[:2], "big") % self.dimension
+        places = np.array([model[name] for name in names], dtype=np.int64)[which]
+        flat = np.bincount(rows * self.dimension + places, minlength=len(split) * self.dimension)
+        return flat.reshape(len(split), self.dimension).astype(np.float64)
 
 
 def batch_encode(
@@ -144,9 +166,10 @@ def encoding_scan(
 ) -> DataFrame:
     """Stored encodings of the wanted ids.
 
-    The newest part of each id is chosen on the narrow key columns; the vectors are
-    read once, by a join on (folder, part, id) that prunes folders when the wanted
-    side is small enough to broadcast.
+    The newest part of each id is chosen on the narrow key columns. In a store with
+    folders, those that hold a chosen part are found first (one number each, a folder has
+    ``PARTS_PER_FOLDER`` parts) and stand in the scan as a filter on the partition column,
+    so no other folder's vectors are read.
     """
     keys = [name for name in ("folder", "part", "pos", "id") if name in store.columns]
     catalogue = store
@@ -157,6 +180,9 @@ def encoding_scan(
         catalogue = catalogue.join(wanted.select("id"), "id", "left_semi")
     if latest_only:
         catalogue = latest_encoding(catalogue)
+    if "folder" in keys and (wanted is not None or time_range is not None):
+        folders = [row[0] for row in catalogue.select("folder").distinct().collect()]
+        store = store.where(F.col("folder").isin(folders))
     return store.join(catalogue, keys, "left_semi")
 
 

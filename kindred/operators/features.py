@@ -22,17 +22,27 @@ from kindred.operators.taxonomy import taxonomy_lookup
 SPARSE_SHARE = 0.85
 
 
-def distinct_labels(df: DataFrame, column: str, limit: int = 5000) -> list[str]:
+def distinct_labels(df: DataFrame, column: str) -> list[str]:
     """The labels of a column, sorted, to become columns.
 
-    This is metadata of the result: more than ``limit`` labels is an error, never
-    a shortened list.
+    All of them: they are the schema of a wide result. Where labels grow with the data,
+    use the long form (``one_hot_long``, ``one_hot_explode_long``), which needs no list.
     """
     labels = df.select(column).where(F.col(column).isNotNull()).distinct()
-    rows = labels.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} labels; they cannot become columns")
-    return sorted(row[0] for row in rows)
+    return sorted(row[0] for row in labels.collect())
+
+
+def one_hot_long(df: DataFrame, id_col: str, column: str) -> DataFrame:
+    """``(id, feature, value)``: the ones of :func:`one_hot`, one row each, for any number
+    of labels; features are the raw labels."""
+    rows = nonblank_filter(df, column)
+    return rows.select(id_col, F.col(column).alias("feature"), F.lit(1).alias("value"))
+
+
+def one_hot_explode_long(df: DataFrame, id_col: str, array: str) -> DataFrame:
+    """``(id, feature, value)``: the ones of :func:`one_hot_explode`, one row each."""
+    terms = df.select(id_col, F.explode(F.array_distinct(array)).alias("feature"))
+    return terms.where(F.col("feature").isNotNull()).withColumn("value", F.lit(1))
 
 
 def one_hot(

@@ -121,16 +121,19 @@ def match_catalogues(
 ) -> DataFrame:
     """Best match per left product, with vector and name similarity.
 
+    One row per product, however often it stands in ``left`` or its match in ``right``.
     Returns ``left_id, right_id, vector_sim, name_sim, left_brand, left_name, right_name``.
     """
     best = nearest_in_block(left, right, threshold, True, chunk_rows)
-    left_names = left.select(
+    # a product may stand in a side more than once (repeated rows, several aliases)
+    left_first = left.groupBy("id").agg(F.min(F.struct("brand", "name_cleaned")).alias("_first"))
+    left_names = left_first.select(
         F.col("id").alias("left_id"),
-        F.col("brand").alias("left_brand"),
-        F.col("name_cleaned").alias("left_name"),
+        F.col("_first.brand").alias("left_brand"),
+        F.col("_first.name_cleaned").alias("left_name"),
     )
-    right_names = right.select(
-        F.col("id").alias("right_id"), F.col("name_cleaned").alias("right_name")
+    right_names = right.groupBy(F.col("id").alias("right_id")).agg(
+        F.min("name_cleaned").alias("right_name")
     )
     named = best.join(left_names, "left_id").join(right_names, "right_id")
     return named.select(

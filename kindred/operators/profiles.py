@@ -31,7 +31,10 @@ def count_long(df: DataFrame, label: str, cluster: str, id_col: str) -> DataFram
 
 
 def _spread(counts: DataFrame, label: str, cluster: str, value: str, clusters: Sequence[str] | None):
-    names = list(clusters) if clusters is not None else distinct_labels(counts, cluster)
+    """Without given clusters every cluster is a column; the null one is called ``null``."""
+    names: list = list(clusters) if clusters is not None else distinct_labels(counts, cluster)
+    if clusters is None and not counts.where(F.col(cluster).isNull()).isEmpty():
+        names.append(None)
     return counts.groupBy(label).pivot(cluster, names).agg(F.sum(value)).fillna(0)
 
 

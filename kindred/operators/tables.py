@@ -41,8 +41,8 @@ def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str]) -> DataFrame
 
 
 def safe_int_cast(value: Column) -> Column:
-    """Truncating integer, 0 for null or for text that is no number."""
-    return F.coalesce(value.try_cast("double").cast("bigint"), F.lit(0)).cast("int")
+    """Truncating integer, 0 for null, for text that is no number, and beyond 32 bits."""
+    return F.coalesce(value.try_cast("decimal(38,9)").try_cast("int"), F.lit(0))
 
 
 def tidy_projection(df: DataFrame, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:
@@ -149,11 +149,11 @@ def set_intersection_join(
 def review_sample(df: DataFrame, id_col: str, draws: int = 30, seed: int = 0) -> DataFrame:
     """``draws`` rows drawn uniformly with replacement, as ``draw`` plus the row.
 
-    Draw *i* takes the id with the smallest hash of (id, seed + i): one aggregate
+    Draw *i* takes the id with the smallest hash of (id, seed, i): one aggregate
     over the data whose result is ``draws`` ids. Ids must be unique.
     """
     def ticket(draw: int) -> Column:
-        mixed = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed + draw))))
+        mixed = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(f"{seed}:{draw}")))
         return F.min(F.struct(mixed.alias("hash"), F.col(id_col).alias("id")))["id"]
 
     winners = df.agg(F.array(*[ticket(draw) for draw in range(draws)]).alias("_ids"))

@@ -18,7 +18,7 @@ from kindred.session import local_table
 
 SCHEMA = "taxonomy string, group string, group_pos int, term string"
 
-# The families that accord groups and note groups are gathered into.
+# The families that accord groups are gathered into.
 ACCORD_FAMILIES = {
     "floral": ["floral"],
     "spicy": ["spicy"],
@@ -27,11 +27,6 @@ ACCORD_FAMILIES = {
     "citrus": ["citrus", "fresh"],
     "mineral": ["mineral"],
 }
-NOTE_FAMILIES = {
-    "Fresh & Light": ["Citrus/Fruity", "Fresh/Aquatic", "Green/Herbal"],
-    "Warm & Earthy": ["Earthy/Spicy", "Spicy", "Woody"],
-    "Sweet & Rich": ["Floral", "Gourmand"],
-}
 
 
 def taxonomy_table(
@@ -47,8 +42,8 @@ def taxonomy_table(
 
 
 def first_groups(taxonomy: DataFrame) -> DataFrame:
-    """``(term, group)`` with one row per term: its first group."""
-    return taxonomy.groupBy("term").agg(F.min_by("group", "group_pos").alias("group"))
+    """``(term, group)`` with one row per term: its first group, of equal places the smaller name."""
+    return taxonomy.groupBy("term").agg(F.min_by("group", F.struct("group_pos", "group")).alias("group"))
 
 
 def taxonomy_lookup(df: DataFrame, taxonomy: DataFrame, term: str, out: str) -> DataFrame:

@@ -36,8 +36,9 @@ def append_or_create_sink(
 ) -> None:
     """Insert into a table, creating it first if needed.
 
-    Columns are put into the table's order, because inserts go by position. A
-    failing ``checker`` stops before anything is written.
+    The columns must be those of the table, in any order; a missing or an additional one is
+    an error, because nothing is dropped or made up. A failing ``checker`` stops before
+    anything is written.
     """
     if checker is not None and not checker(df):
         raise ValueError(f"check failed for {table}")
@@ -45,7 +46,11 @@ def append_or_create_sink(
         df = df.withColumn("InsertTime", F.date_trunc("second", F.current_timestamp()))
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=overwrite)
+        wanted = spark.table(table).columns  # inserts go by position
+        if sorted(df.columns) != sorted(wanted):
+            extra, missing = set(df.columns) - set(wanted), set(wanted) - set(df.columns)
+            raise ValueError(f"{table}: additional {sorted(extra)}, missing {sorted(missing)}")
+        df.select(*wanted).write.insertInto(table, overwrite=overwrite)
     else:
         table_overwrite_sink(df, table, path)
 

@@ -170,6 +170,9 @@ def test_assets(spark):
     )
     assert values(df, X.asset_name(F.col("n"), F.col("u"))) == {1: "Eau_Sauvage_66__123.jpg", 2: None}
     assert values(df, X.id_of_asset(X.asset_of_id(F.col("c"))))[1] == "ABC123"
+    longer = df.sparkSession.createDataFrame([(7,), (12345678,)], "id bigint")
+    code = X.padded_code(F.col("id"))
+    assert values(longer, X.id_of_asset(X.asset_of_id(code))) == {7: "000007", 12345678: "12345678"}
     assert values(df, X.asset_path(F.col("c"), "/r"))[1] == "/r/xl/A/B/C/ABC123_in_xl.jpg"
 
 

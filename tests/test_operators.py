@@ -115,12 +115,6 @@ def test_one_hot_explode(spark):
     assert rows(hot.where("id = 6"), "*") == [(6, 0, 0, 1, 0, 1)]
 
 
-def test_too_many_labels_is_an_error(spark):
-    df = spark.range(10).select(F.col("id").cast("string").alias("l"))
-    with pytest.raises(ValueError, match="more than 5"):
-        FE.distinct_labels(df, "l", limit=5)
-
-
 def test_scaling(spark):
     df = spark.createDataFrame([(1, 1.0, 0, None), (2, 3.0, 0, 4), (3, 5.0, 0, 6)],
                                "id int, a double, b int, c int")
@@ -287,3 +281,40 @@ def test_label_sets_drop_nulls(spark):
     assert rows(S.label_sets(df, ["a", "b"]), "dimension", "label", "id") == [
         ("a", "x", 1), ("b", "p", 1),
     ]
+
+
+def test_more_than_five_thousand_labels(spark):
+    df = spark.range(5002).select("id", F.concat(F.lit("b"), F.col("id").cast("string")).alias("brand"))
+    assert len(FE.one_hot(df, "id", "brand").columns) == 5003
+    long = FE.one_hot_long(df, "id", "brand")
+    assert long.count() == 5002 and long.columns == ["id", "feature", "value"]
+    terms = spark.createDataFrame([(1, ["a", "b", "a", None]), (2, [])], "id int, t array<string>")
+    assert rows(FE.one_hot_explode_long(terms, "id", "t"), "id", "feature") == [(1, "a"), (1, "b")]
+
+
+def test_null_cluster_stays_in_pivots(spark):
+    df = spark.createDataFrame(
+        [("a", "x", 1, 2.0), ("a", None, 2, 3.0)], "l string, c string, id int, v double"
+    )
+    assert P.count_pivot(df, "l", "c", "id").collect()[0].asDict() == {"l": "a", "x": 1, "null": 1}
+    assert P.sum_pivot(df, "l", "c", "v").collect()[0].asDict() == {"l": "a", "x": 2.0, "null": 3.0}
+
+
+def test_safe_int_cast_beyond_the_range(spark):
+    df = spark.createDataFrame([("3000000000",), ("NaN",), ("2147483647",), ("1e3",)], "t string")
+    assert [r[0] for r in df.select(T.safe_int_cast(F.col("t"))).collect()] == [0, 0, 2147483647, 1000]
+
+
+def test_samples_of_neighbouring_seeds_differ(spark):
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    one, two = ([r["k"] for r in T.review_sample(df, "k", 30, s).orderBy("draw").collect()]
+                for s in (0, 1))
+    assert len(set(one) & set(two)) < 10
+
+
+def test_equal_places_take_the_smaller_group(spark):
+    both = spark.createDataFrame(
+        [("t", "zeta", 0, "x"), ("t", "alpha", 0, "x")],
+        "taxonomy string, group string, group_pos int, term string",
+    )
+    assert rows(X.first_groups(both), "group") == [("alpha",)]

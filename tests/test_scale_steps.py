@@ -135,6 +135,13 @@ def test_match_rules(spark):
     aliases = spark.createDataFrame([("B1", "none"), ("B1", "other")], "company string, brand string")
     aliased = match_pipeline(internal, external, aliases)
     assert ("g", "none", "2") in rows(aliased, "id", "brand", "match_id")
+    # aliases that fan out, repeated aliases and repeated products: still one row per product
+    fanned = spark.createDataFrame(
+        [("B1", "b1"), ("B1", "none"), ("B1", "none"), ("b1", "b1")], "company string, brand string"
+    )
+    found = match_pipeline(internal.unionByName(internal), external, fanned).select("id", "match_id")
+    ids = [r["id"] for r in found.collect()]
+    assert "a" in ids and "g" in ids and len(ids) == len(set(ids))
 
 
 def test_nearest_without_name_or_threshold(spark):

@@ -75,7 +75,7 @@ def test_time_range(spark):
 
 
 def test_batches_are_bounded(spark):
-    class CountingEncoder(E.DigestEncoder):
+    class CountingEncoder(E.HashingEncoder):
         def batch_predict(self, model, data):
             return np.full((len(data), 1), float(len(data)))
 
@@ -84,16 +84,36 @@ def test_batches_are_bounded(spark):
     assert {r["encoding"][0] for r in sizes.collect()} == {32.0, 4.0}
 
 
+def test_hashed_counts_of_every_token(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None)], "id int, t string")
+    found = {r["id"]: r["encoding"] for r in E.batch_encode(df, "id", "t", E.HashingEncoder()).collect()}
+    assert sorted(found[1])[-2:] == [1.0, 2.0] and sum(found[1]) == 3
+    assert sum(found[2]) == sum(found[3]) == 0 and len(found[3]) == 64
+
+
+def test_scan_reads_only_the_folders_it_needs(spark, tmp_path):
+    path = str(tmp_path / "store")
+    ids = spark.range(0, 3000).select("id", F.array(F.col("id").cast("double")).alias("encoding"))
+    E.encoding_sink(ids, path, part_size=1)
+    store, wanted = spark.read.parquet(path), spark.range(5, 8)
+    assert store.select("folder").distinct().count() > 5
+    found = E.encoding_scan(store, wanted)
+    assert rows(found, "id") == [(5,), (6,), (7,)]
+    assert len(found.select("id", "folder").where("folder = 0").collect()) == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "folder" in plan.split("PartitionFilters", 1)[1][:200]
+
+
 def test_incremental_encoding_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "store")
     df = spark.createDataFrame([("a", "1"), ("b", "2"), ("", "3"), (None, "4")], "id string, t string")
-    assert rows(E.incremental_encode(df, "id", "t", E.DigestEncoder(), path), "id") == [("a",), ("b",)]
+    assert rows(E.incremental_encode(df, "id", "t", E.HashingEncoder(), path), "id") == [("a",), ("b",)]
     store = spark.read.parquet(path)
-    again = E.incremental_encode(df, "id", "t", E.DigestEncoder(), path, store)
+    again = E.incremental_encode(df, "id", "t", E.HashingEncoder(), path, store)
     assert again.count() == 0
     more = df.union(spark.createDataFrame([("c", "5")], "id string, t string"))
     store = spark.read.parquet(path)
-    assert rows(E.incremental_encode(more, "id", "t", E.DigestEncoder(), path, store), "id", "part") == [
+    assert rows(E.incremental_encode(more, "id", "t", E.HashingEncoder(), path, store), "id", "part") == [
         ("c", 1)
     ]
 
@@ -136,6 +156,9 @@ def test_append_or_create(spark, tmp_path):
     S.append_or_create_sink(df, table, path=str(tmp_path / "t"))
     S.append_or_create_sink(df.select("f", F.lit(2).alias("id")), table)
     assert rows(spark.table(table), "id", "f") == [(1, "a"), (2, "a")]
+    for wrong in (df.withColumn("extra", F.lit(1)), df.select("id")):
+        with pytest.raises(ValueError, match="additional"):
+            S.append_or_create_sink(wrong, table)
     S.append_or_create_sink(df, table, overwrite=True)
     assert rows(spark.table(table), "id", "f") == [(1, "a")]
     assert rows(R.table_scan_project(spark, table, ["f"]), "f") == [("a",)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions import histograms as H
@@ -81,10 +81,33 @@ def csv_scan(v: Views) -> DataFrame:
     return R.csv_scan(v.spark, path, schema)
 
 
+#: All components of a vector, in millionths, as text.
+_MILLIONTHS_SQL = (
+    "array_to_string([CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT) FOR x IN embedding], ',')"
+)
+
+
+def millionths(vector: Column) -> Column:
+    whole = F.transform(vector, lambda x: F.round(x.cast("double") * 1000000).cast("bigint"))
+    return F.array_join(whole.cast("array<string>"), ",")
+
+
+def counts_sql(table: str, key: str, text: str, separator: str) -> str:
+    """Hashed token counts of ``text``, all 64 of them, as text."""
+    return (
+        f"WITH source AS (SELECT DISTINCT {key} AS id, {text} AS t FROM {table}), counted AS ("
+        "SELECT id, ('0x' || md5(w)[1:4])::INT % 64 AS place, count(*) AS n FROM (SELECT id,"
+        f" unnest(string_split(t, '{separator}')) AS w FROM source) WHERE w <> '' GROUP BY ALL)"
+        " SELECT id, string_agg(CAST(coalesce(n, 0) * 1000000 AS BIGINT), ',' ORDER BY place) AS"
+        " vector FROM source CROSS JOIN (SELECT unnest(range(64)) AS place)"
+        " LEFT JOIN counted USING (id, place) GROUP BY id"
+    )
+
+
 @query(
     "encoding_scan",
     "SELECT id, CAST(part AS BIGINT) AS part, CAST(pos AS BIGINT) AS pos,"
-    " round(CAST(embedding[1] AS DOUBLE), 6) AS head FROM v_store"
+    f" {_MILLIONTHS_SQL} AS vector FROM v_store"
     " WHERE id IN (SELECT p_partkey FROM part)"
     " QUALIFY row_number() OVER (PARTITION BY id ORDER BY part DESC, pos DESC) = 1",
 )
@@ -92,7 +115,7 @@ def encoding_scan(v: Views) -> DataFrame:
     wanted = v.table("part").select(F.col("p_partkey").alias("id"))
     return E.encoding_scan(v.store, wanted).select(
         "id", F.col("part").cast("bigint").alias("part"), F.col("pos").cast("bigint").alias("pos"),
-        F.round(F.col("embedding")[0].cast("double"), 6).alias("head"),
+        millionths(F.col("embedding")).alias("vector"),
     )
 
 
@@ -188,32 +211,25 @@ def temp_view(v: Views) -> DataFrame:
     )
 
 
-@query(
-    "batch_encode",
-    "SELECT doc_id AS id, CAST(16 AS BIGINT) AS dimension, round(('0x' || md5(text)[1:2])::INT / 255, 6)"
-    " AS head, round(('0x' || md5(text)[31:32])::INT / 255, 6) AS tail FROM documents",
-)
+@query("batch_encode", counts_sql("documents", "doc_id", "text", " "))
 def batch_encode(v: Views) -> DataFrame:
-    encoded = E.batch_encode(v.table("documents"), "doc_id", "text", E.DigestEncoder())
-    return encoded.select(
-        "id", F.size("encoding").cast("bigint").alias("dimension"),
-        F.round(F.col("encoding")[0], 6).alias("head"),
-        F.round(F.col("encoding")[15], 6).alias("tail"),
-    )
+    encoded = E.batch_encode(v.table("documents"), "doc_id", "text", E.HashingEncoder())
+    return encoded.select("id", millionths(F.col("encoding")).alias("vector"))
 
 
 @query(
     "incremental_encode",
-    "SELECT url AS id, round(('0x' || md5(url)[1:2])::INT / 255, 6) AS head,"
-    " CAST(0 AS BIGINT) AS new_on_rerun FROM pages GROUP BY url",
+    "SELECT id, vector, CAST(0 AS BIGINT) AS new_on_rerun FROM ("
+    + counts_sql("pages", "url", "url", "/") + ")",
 )
 def incremental_encode(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "incremental")
     pages = v.table("pages").select(F.col("url").alias("page")).distinct()
-    E.incremental_encode(pages, "page", "page", E.DigestEncoder(), path, part_size=50)
+    encoder = E.HashingEncoder(separator="/")
+    E.incremental_encode(pages, "page", "page", encoder, path, part_size=50)
     store = R.parquet_scan(v.spark, path)
     again = E.pending_ids(pages, "page", store)
     new_on_rerun = again.agg(F.count(F.lit(1))).scalar()
     return E.encoding_scan(store).select(
-        "id", F.round(F.col("encoding")[0], 6).alias("head"), new_on_rerun.alias("new_on_rerun")
+        "id", millionths(F.col("encoding")).alias("vector"), new_on_rerun.alias("new_on_rerun")
     )

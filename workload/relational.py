@@ -406,7 +406,7 @@ def distinct_sorted(v: Views) -> DataFrame:
     "review_sample",
     "SELECT CAST(draw AS BIGINT) AS draw, product_id, name, brand FROM (SELECT UNNEST(range(30))"
     " AS draw), v_catalog QUALIFY row_number() OVER (PARTITION BY draw ORDER BY"
-    " md5(product_id || ':' || draw), product_id) = 1",
+    " md5(product_id || ':0:' || draw), product_id) = 1",
 )
 def review_sample(v: Views) -> DataFrame:
     rows = v.catalog.select("product_id", "name", "brand")

@@ -147,11 +147,11 @@ def asset_name(v: Views) -> DataFrame:
 
 @query(
     "id_asset_roundtrip",
-    "SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code,"
-    " lpad(CAST(c_custkey AS VARCHAR), 6, '0') || '_in_xl.jpg' AS asset FROM customer",
+    "SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), greatest(6, length(CAST(c_custkey AS VARCHAR))::INT), '0') AS code,"
+    " lpad(CAST(c_custkey AS VARCHAR), greatest(6, length(CAST(c_custkey AS VARCHAR))::INT), '0') || '_in_xl.jpg' AS asset FROM customer",
 )
 def id_asset_roundtrip(v: Views) -> DataFrame:
-    code = F.lpad(F.col("c_custkey").cast("string"), 6, "0")
+    code = X.padded_code(F.col("c_custkey"))
     stored = v.table("customer").select("c_custkey", X.asset_of_id(code).alias("asset"))
     return stored.withColumn("code", X.id_of_asset(F.col("asset")))
 
@@ -160,10 +160,10 @@ def id_asset_roundtrip(v: Views) -> DataFrame:
     "asset_path",
     "SELECT c_custkey, '/images/xl/' || code[1] || '/' || code[2] || '/' || code[3] || '/' ||"
     " code || '_in_xl.jpg' AS path FROM"
-    " (SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code FROM customer)",
+    " (SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), greatest(6, length(CAST(c_custkey AS VARCHAR))::INT), '0') AS code FROM customer)",
 )
 def asset_path(v: Views) -> DataFrame:
-    code = F.lpad(F.col("c_custkey").cast("string"), 6, "0")
+    code = X.padded_code(F.col("c_custkey"))
     return v.table("customer").select("c_custkey", X.asset_path(code, "/images/").alias("path"))
 
 
