@@ -51,7 +51,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in windows of 2048."""
-    return packing.with_id_lists(packing.pack(docs))
+    return packing.pack(docs, lists=True)
 
 
 STAGES = [

@@ -57,13 +57,17 @@ class Words:
             return np.empty(0, np.uint64)
         sizes = self.sizes if first is None else np.minimum(self.sizes, first)
         begins = np.cumsum(sizes) - sizes
-        place = np.arange(int(sizes.sum())) - np.repeat(begins, sizes)
-        byte = LOWER[self.data[np.repeat(self.starts, sizes) + place]]
+        # narrow numbers: these arrays have an entry per byte
+        kind = np.int32 if len(self.data) < 2**31 else np.int64
+        place = np.arange(int(sizes.sum()), dtype=kind) - np.repeat(begins.astype(kind), sizes)
+        byte = LOWER[self.data[np.repeat(self.starts.astype(kind), sizes) + place]]
         if len(place) and int(place.max()) < len(_WEIGHTS):
             weight = _WEIGHTS[place]
         else:
             weight = _place_weight(place)
-        return mix(np.add.reduceat(_BYTE[byte] * weight, begins))
+        values = _BYTE[byte]
+        values *= weight
+        return mix(np.add.reduceat(values, begins))
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

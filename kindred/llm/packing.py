@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from kindred.llm import wordpieces
-from kindred.llm.slices import slices, texts_of
+from kindred.llm.slices import slices, texts_of, with_small_batches
 
 #: Remainders and bytes of identifiers that a buffer holds at most (one longer document aside).
-BUFFER_ROWS, BUFFER_BYTES = 16_384, 24_000_000
+BUFFER_ROWS, BUFFER_BYTES = 8_192, 8_000_000
 #: Parts and words kept per worker process; it bounds memory and changes no result.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 80_000
 #: Characters of the longest part that is kept.
 LONGEST_KEPT = 64
 #: Text parts that one call of the tokenizer gets.
@@ -149,14 +149,22 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def id_lists(packed: list[bytes]) -> pa.Array:
+    """Packed identifiers as lists of integers."""
+    edges = np.cumsum([0, *(len(value) // 4 for value in packed)], dtype=np.int32)
+    values = np.frombuffer(b"".join(packed), "<i4")
+    return pa.ListArray.from_arrays(pa.array(edges), pa.array(values, pa.int32()))
+
+
 def pack(
     docs: DataFrame, window: int = 2048, end_id: int = 1, path: str | None = None,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", lists: bool = False,
 ) -> DataFrame:
     """Pack every document, followed by ``end_id``, into windows of ``window`` tokens.
 
     Returns one row per piece: ``id, start, length, ids, doc_tokens, sequence_id, offset``.
-    ``ids`` are the piece's identifiers, packed little-endian unsigned 32-bit; pieces of a
+    ``ids`` are the piece's identifiers, packed little-endian unsigned 32-bit (an array of
+    integers with ``lists``); pieces of a
     document cover it from ``start`` 0 without gap; pieces of a sequence cover it from
     ``offset`` 0 without gap. A null or empty text is the end identifier alone. Repeated
     rows are packed each, other columns are ignored, an empty table gives no piece. Equal
@@ -190,7 +198,8 @@ def pack(
                 id_col: pa.array([row[0] for row in rows], id_type),
                 "start": pa.array([row[1] for row in rows], pa.int64()),
                 "length": pa.array([len(row[2]) // 4 for row in rows], pa.int64()),
-                "ids": pa.array([row[2] for row in rows], pa.binary()),
+                "ids": id_lists([row[2] for row in rows]) if lists
+                else pa.array([row[2] for row in rows], pa.binary()),
                 "doc_tokens": pa.array([row[3] for row in rows], pa.int64()),
                 "sequence_id": pa.array(sequences, pa.int64()),
                 "offset": pa.array(offsets, pa.int64()),
@@ -215,29 +224,9 @@ def pack(
         if rows:
             yield flush()
 
-    return docs.select(id_col, text_col).mapInArrow(
+    return with_small_batches(docs.select(id_col, text_col)).mapInArrow(
         task,
-        f"`{id_col}` {kind}, start bigint, length bigint, ids binary, doc_tokens bigint,"
+        f"`{id_col}` {kind}, start bigint, length bigint, ids {'array<int>' if lists else 'binary'},"
+        " doc_tokens bigint,"
         " sequence_id bigint, offset bigint",
     )
-
-
-def with_id_lists(pieces: DataFrame) -> DataFrame:
-    """``pieces`` with the packed ``ids`` as an array of integers; the bytes are not copied."""
-    names = pieces.columns
-    at = names.index("ids")
-    fields = ", ".join(
-        f"`{f.name}` {'array<int>' if f.name == 'ids' else f.dataType.simpleString()}"
-        for f in pieces.schema
-    )
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = batch.column(at).to_pylist()
-            edges = np.cumsum([0, *(len(value) // 4 for value in packed)], dtype=np.int32)
-            values = np.frombuffer(b"".join(packed), "<i4")
-            columns = {name: batch.column(number) for number, name in enumerate(names)}
-            columns["ids"] = pa.ListArray.from_arrays(pa.array(edges), pa.array(values, pa.int32()))
-            yield pa.record_batch(columns)
-
-    return pieces.mapInArrow(task, fields)

@@ -9,7 +9,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Bytes of text that a slice holds, unless a single text is longer.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
+#: Bytes of an Arrow batch that Spark hands to a worker.
+BATCH_BYTES = 4_000_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -26,6 +29,20 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterato
     yield batch.slice(start)
 
 
+def with_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session's Arrow batches bounded to ``BATCH_BYTES``.
+
+    A batch of Spark's default size holds up to 64 MB in the JVM and several times that in
+    a worker. The setting changes no result; a smaller one is left as it is.
+    """
+    conf = df.sparkSession.conf
+    given = conf.get(_BATCH_SETTING, None)
+    digits = given[:-1] if given and given.endswith("b") else given
+    if digits is None or not digits.isdigit() or int(digits) > BATCH_BYTES or int(digits) <= 0:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def map_slices(
     df: DataFrame, text: str, run: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
     most: int = SLICE_BYTES,
@@ -37,7 +54,7 @@ def map_slices(
             for part in slices(batch, text, most):
                 yield run(part)
 
-    return df.mapInArrow(task, schema)
+    return with_small_batches(df).mapInArrow(task, schema)
 
 
 def texts_of(column: pa.Array) -> list[str]:

@@ -19,7 +19,7 @@ from kindred.llm import wordpieces
 from kindred.llm.slices import map_slices, texts_of
 
 #: Counts kept per worker process; the store's older half is dropped when it is full.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 #: Characters of the longest word that is kept.
 LONGEST_KEPT = 64
 

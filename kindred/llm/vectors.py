@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kindred.llm.slices import with_small_batches
+
 
 def usable(vector: str) -> Column:
     """Whether a vector is not null, not empty, not zero, and all its components are finite.
@@ -42,7 +44,7 @@ def packed(df: DataFrame, id_col: str, vector_col: str, *more: str) -> DataFrame
                 ),
             })
 
-    return rows.mapInArrow(task, f"{fields}, dim int, packed binary")
+    return with_small_batches(rows).mapInArrow(task, f"{fields}, dim int, packed binary")
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
