@@ -11,6 +11,7 @@ from kindred.llm import pii, quality, toxicity
 from kindred.llm.byte_bpe import decode_ids, encode_texts
 from kindred.llm.folds import held_out
 from kindred.llm.grid_order import near_duplicates
+from kindred.llm.hilbert_blocks import hard_negatives
 from kindred.llm.packing import pack
 from kindred.llm.posting_lists import nearest
 from kindred.llm.token_counts import token_counts
@@ -185,3 +186,39 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, by zone maps of Hilbert-ordered blocks."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10)
+    vectors = table(spark, folder, "embeddings").withColumn(
+        "label", label.otherwise(F.col("label").cast("bigint"))
+    )
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+           list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id
+    WHERE a.vec_id % 100 = 0
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER
+           AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
