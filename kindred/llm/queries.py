@@ -14,6 +14,7 @@ from kindred.llm.grid_order import near_duplicates
 from kindred.llm.hilbert_blocks import hard_negatives
 from kindred.llm.packing import pack
 from kindred.llm.posting_lists import nearest
+from kindred.llm.prefix_trie import conversation_trie
 from kindred.llm.token_counts import token_counts
 from kindred.llm.token_groups import jaccard_components
 from kindred.llm.url_filter import ALLOW, BLOCK, HostRule, judge_urls
@@ -188,6 +189,63 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Prefix trie of all conversations, rebuilt on shared beginnings."""
+    return conversation_trie(table(spark, folder, "conversations"), shared_heads=True)
+
+
+ORACLES["op11_prefix_trie"] = """
+WITH t AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    -- CRC-32, bit by bit
+    SELECT c, xor(list_reduce(
+        [4294967295::UBIGINT] || list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::UBIGINT),
+        lambda a, b: list_reduce(
+            [xor(a, b)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0],
+            lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))
+    ), 4294967295::UBIGINT) % 4 AS h
+    FROM (SELECT DISTINCT c FROM t)
+), rebuilt AS (
+    SELECT convs.c, 0 AS own, pos, role, text
+    FROM convs JOIN t ON t.c = convs.c - convs.c % 20 AND pos <= h
+    UNION ALL
+    SELECT convs.c, 1, pos, role, text FROM convs JOIN t USING (c) WHERE pos > h
+), listed AS (
+    SELECT c, list({'role': role, 'text': text} ORDER BY own, pos) AS turns FROM rebuilt GROUP BY c
+), filled AS (
+    SELECT c, coalesce(turns, []) AS turns FROM convs LEFT JOIN listed USING (c)
+), prefixes AS (
+    SELECT c, len(turns) AS length, d, turns[1:d] AS key
+    FROM filled, unnest(range(0, len(turns) + 1)) AS r(d)
+), nodes AS (
+    SELECT key, d, min(c) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (length = d), '')) AS ends_sha256,
+           (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE
+               len(regexp_extract_all(key[d].text, '[^\x20\x09-\x0D]+')) END AS saved
+    FROM prefixes GROUP BY key, d
+), edges AS (
+    SELECT parent.key, parent.d, count(*) AS n_children
+    FROM nodes child JOIN nodes parent ON child.d = parent.d + 1 AND child.key[1:parent.d] = parent.key
+    GROUP BY ALL
+), below AS (
+    SELECT u.key[1:e] AS key, e AS d, sum(u.saved) AS saved_tokens,
+           count(*) FILTER (edges.n_children IS NULL) AS n_leaves
+    FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM nodes) u LEFT JOIN edges USING (key, d)
+    GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(edges.n_children, 0) AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       n.ends_sha256
+FROM nodes n JOIN below USING (key, d) LEFT JOIN edges USING (key, d)
+LEFT JOIN nodes up ON up.d = n.d - 1 AND n.key[1:up.d] = up.key
+"""
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Hard negatives of every hundredth vector, by zone maps of Hilbert-ordered blocks."""
