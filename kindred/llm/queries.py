@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import pii, quality, toxicity
+from kindred.llm.balanced_shards import shard_documents
 from kindred.llm.byte_bpe import decode_ids, encode_texts
 from kindred.llm.folds import held_out
 from kindred.llm.grid_order import near_duplicates
@@ -280,3 +281,9 @@ FROM positive JOIN scored USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+
+@query
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in eight shards of equally many rows, equal texts together."""
+    return shard_documents(table(spark, folder, "documents"))
