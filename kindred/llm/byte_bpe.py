@@ -28,32 +28,46 @@ CACHE_ENTRIES = 160_000
 LONGEST_KEPT = 64
 #: Bytes of text, or of identifiers, that are worked on at a time.
 ENCODE_BYTES, DECODE_BYTES = 2_000_000, 2_000_000
-#: Words of a recursive query; bounds its rows.
+#: Words of a recursive query.
 WORDS_AT_ONCE = 25_000
 
-# A pair's score is its rank (17 bits), its place (34 bits) and the length of its left token
-# (12 bits): the smallest score of a word names the pair to contract and the row that goes.
+#: Symbols of a recursive query, longer words aside, and its rounds; they bound its rows.
+SYMBOLS_AT_ONCE, ROUNDS_AT_ONCE = 250_000, 8
+#: Bytes that DuckDB may use, and those that it may use besides for each symbol of a query.
+MEMORY, MEMORY_A_SYMBOL = 250_000_000, 1_000
+
+# ``many`` ranks cannot give rise to a pair of the same or a lower rank, so what follows the
+# leftmost pair is to contract it again further right: a round contracts all of them, every
+# second one where they overlap. Of other ranks a round contracts the leftmost pair alone.
+# Only the last state of a word counts, and only {rounds} states are ever held.
 _ENCODE = """
 WITH RECURSIVE step(n, w, p, q, t) AS (
     SELECT 0, w, p, q, t FROM symbols
     UNION ALL
     (
         WITH scored AS MATERIALIZED (
-            SELECT a.w, b.q AS q2, m.rank,
-                   m.rank * (1::BIGINT << 46) + a.p * 4096 + (a.q - a.p) AS score
+            SELECT a.w, a.p, a.q, b.q AS q2, m.rank, m.many
             FROM step a JOIN step b ON a.q = b.p
             JOIN merges m ON m.pair = a.t * width() + b.t
         ), best AS MATERIALIZED (
-            SELECT w, (min(score) >> 12) & ((1::BIGINT << 34) - 1) AS spot,
-                   spot + (min(score) & 4095) AS gone,
-                   arg_min(q2, score) AS q2, arg_min(rank, score) AS rank
-            FROM scored GROUP BY w
+            SELECT w, min(rank) AS rank FROM scored GROUP BY w
+        ), lowest AS MATERIALIZED (
+            SELECT *, row_number() OVER spot AS place, lag(q) OVER spot IS DISTINCT FROM p AS alone
+            FROM scored SEMI JOIN best USING (w, rank)
+            WINDOW spot AS (PARTITION BY w ORDER BY p)
+        ), chosen AS MATERIALIZED (
+            SELECT p, q, q2, rank FROM (
+                SELECT *, place - max(if(alone, place, 0)) OVER (PARTITION BY w ORDER BY p) AS behind
+                FROM lowest
+            ) WHERE if(many, behind % 2 = 0, place = 1)
         )
-        SELECT n + 1, w, p, if(p = spot, q2, q), if(p = spot, rank, t)
-        FROM step JOIN best USING (w) WHERE p <> gone
+        SELECT n + 1, s.w, s.p, coalesce(c.q2, s.q), coalesce(c.rank, s.t)
+        FROM step s SEMI JOIN best USING (w) LEFT JOIN chosen c ON s.p = c.p
+        WHERE n < {rounds} AND s.p NOT IN (SELECT q FROM chosen)
     )
 )
-SELECT w, t FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) ORDER BY p
+SELECT w, p, q, t, n FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n)
+ORDER BY p
 """
 
 _DECODE = """
@@ -83,7 +97,7 @@ class Codec:
         self.older: dict[str, bytes] = {}
         width = max(ranks.values()) + 1
         pairs = [
-            (left * width + right, rank)
+            (left, right, rank)
             for token, rank in ranks.items()
             for cut in range(1, len(token))
             if (left := ranks.get(token[:cut])) is not None
@@ -91,11 +105,16 @@ class Codec:
         ]
         # one thread: Spark runs a worker per core; memory is bounded by the slices
         self.database = duckdb.connect(
-            ":memory:", config={"threads": 1, "temp_directory": "", "memory_limit": "250MB"}
+            ":memory:",
+            config={"threads": 1, "temp_directory": "", "memory_limit": f"{MEMORY // 10**6}MB"},
         )
         self.database.execute(f"CREATE MACRO width() AS {width}::BIGINT")
-        merges = pa.table({"pair": [p for p, _ in pairs], "rank": [r for _, r in pairs]})
-        self._create("merges", merges)
+        left, right, rank = np.array(pairs, np.int64).T
+        lowest = np.full(width, width)  # rank of a pair that a token can be part of
+        np.minimum.at(lowest, left, rank)
+        np.minimum.at(lowest, right, rank)
+        merges = {"pair": left * width + right, "rank": rank, "many": lowest[rank] > rank}
+        self._create("merges", pa.table(merges))
         # DuckDB aggregates text: every byte as the character of its code point
         tokens = [(rank, token.decode("latin-1")) for token, rank in ranks.items()]
         self._create(
@@ -118,17 +137,32 @@ class Codec:
         """The identifiers of each word, as little-endian unsigned 32-bit integers."""
         encoded = [word.encode("utf-8") for word in words]
         sizes = np.array([len(word) for word in encoded], np.int64)
-        tokens = self.byte_ids[np.frombuffer(b"".join(encoded), np.uint8)]
-        word = np.repeat(np.arange(len(words)), sizes)
-        place = np.arange(len(tokens))
+        place = np.arange(sizes.sum())
         following = place + 1
         following[np.cumsum(sizes) - 1] = -1
-        found = self._query(
-            "symbols", pa.table({"w": word, "p": place, "q": following, "t": tokens}), _ENCODE
+        state = {
+            "w": np.repeat(np.arange(len(words)), sizes), "p": place, "q": following,
+            "t": self.byte_ids[np.frombuffer(b"".join(encoded), np.uint8)],
+        }
+        result = [b""] * len(words)
+        self.database.execute(
+            f"SET memory_limit = '{(MEMORY + MEMORY_A_SYMBOL * len(place)) // 10**6}MB'"
         )
-        ids = found["t"].astype("<u4").tobytes()
-        ends = np.cumsum(np.bincount(found["w"], minlength=len(words))) * 4
-        return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        while len(state["w"]):
+            # long words have few rounds a query, so that its rows stay in proportion to them
+            rounds = max(1, min(ROUNDS_AT_ONCE, ROUNDS_AT_ONCE * SYMBOLS_AT_ONCE // len(state["w"])))
+            state = self._query("symbols", pa.table(state), _ENCODE.format(rounds=rounds))
+            open_words = state.pop("n") == rounds
+            done = ~open_words
+            ids = state["t"][done].astype("<u4").tobytes()
+            starts = np.flatnonzero(np.diff(state["w"][done], prepend=-1))
+            ends = (4 * np.append(starts[1:], done.sum())).tolist() if len(starts) else []
+            for word, a, b in zip(
+                state["w"][done][starts].tolist(), (4 * starts).tolist(), ends, strict=True
+            ):
+                result[word] = ids[a:b]
+            state = {name: column[open_words] for name, column in state.items()}
+        return result
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The identifiers of every text."""
@@ -143,9 +177,17 @@ class Codec:
                 missing.append(word)
             else:
                 known[word] = value
-        for start in range(0, len(missing), WORDS_AT_ONCE):
-            part = missing[start : start + WORDS_AT_ONCE]
-            known.update(zip(part, self.contract(part), strict=True))
+        missing.sort(key=len)  # words of a query then take about as many rounds
+        start, symbols = 0, 0
+        for at, word in enumerate(missing):
+            size = len(word.encode("utf-8"))
+            if at > start and (symbols + size > SYMBOLS_AT_ONCE or at - start == WORDS_AT_ONCE):
+                part = missing[start:at]
+                known.update(zip(part, self.contract(part), strict=True))
+                start, symbols = at, 0
+            symbols += size
+        part = missing[start:]
+        known.update(zip(part, self.contract(part) if part else [], strict=True))
         result = [b"".join(map(known.__getitem__, words)) for words in split]
         for word in missing:
             if len(word) > LONGEST_KEPT:

@@ -32,6 +32,28 @@ def test_round_trip_equals_the_library():
     assert codec.decode(ids) == [text.encode() for text in texts]
 
 
+def test_long_words_need_no_memory_for_their_rounds(spark):
+    chance = random.Random(8)
+
+    def letters(count):
+        return "".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(count))
+
+    texts = [
+        letters(4000), "a" * 20_000, "".join(chr(chance.randint(0x4E00, 0x9FA5)) for _ in range(10_000)),
+        " ".join(letters(60) for _ in range(8000)),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    for row in decode_ids(encode_texts(docs)).collect():
+        assert bytes(row.ids) == packed(texts[row.doc_id])
+        assert bytes(row.decoded) == texts[row.doc_id].encode()
+
+
+def test_overlapping_pairs_follow_the_leftmost_one():
+    codec = Codec(default_path(), public_tokenizers.PATTERN)
+    words = [letter * count for letter in "aeot-=_" for count in range(1, 40)]
+    assert codec.contract(words) == [packed(word) for word in words]
+
+
 def test_rows_nulls_repeats_and_other_columns(spark):
     rows = [(1, "Hello world", "a"), (1, "Hello world", "b"), (2, None, None), (3, "", "c"),
             (None, "x y", "d")]
