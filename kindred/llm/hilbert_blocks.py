@@ -99,7 +99,7 @@ def _unpack(data: bytes, count: int) -> np.ndarray:
 
 def _rows(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     """Packed vectors as rows."""
-    return np.array([_unpack(data, dim) for data in column.to_pylist()], np.int64).reshape(-1, dim)
+    return np.array([_unpack(data, dim) for data in column.to_pylist()], np.int64).reshape(len(column), dim)
 
 
 def inner_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -234,7 +234,7 @@ def candidate_blocks(raw: DataFrame, settings: Settings) -> DataFrame:
     def block(number: int, rows: list[tuple]) -> pa.RecordBatch:
         dim, label = rows[0][3], rows[0][1]
         ids = np.array([row[0] for row in rows], "<i8")
-        vectors = np.array([_unpack(row[4], dim) for row in rows], np.int64).reshape(-1, dim)
+        vectors = np.array([_unpack(row[4], dim) for row in rows], np.int64).reshape(len(rows), dim)
         anchors = np.flatnonzero([row[2] for row in rows]).astype("<i4")
         scores = inner_products(vectors[anchors], vectors)
         scores[ids[anchors][:, None] == ids[None, :]] = np.iinfo(np.int64).min
@@ -275,7 +275,7 @@ def _anchor_rows(blocks: DataFrame, settings: Settings) -> DataFrame:
             for row in batch.to_pylist():
                 which, dim = np.frombuffer(row["anchors"], "<i4"), row["dim"]
                 ids = np.frombuffer(row["ids"], "<i8")
-                vectors = _unpack(row["q"], len(ids) * dim).reshape(-1, dim)
+                vectors = _unpack(row["q"], len(ids) * dim).reshape(len(ids), dim)
                 yield pa.record_batch({
                     "id": pa.array(ids[which]), "label": pa.array([row["label"]] * len(which), pa.int64()),
                     "block": pa.array([row["block"]] * len(which), pa.int64()),
@@ -298,7 +298,7 @@ def _anchor_rows(blocks: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _matrix_of(blocks: pa.Table, column: str, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(blocks.column(column).to_pylist()), "<i8").reshape(-1, dim)
+    return np.frombuffer(b"".join(blocks.column(column).to_pylist()), "<i8").reshape(len(blocks), dim)
 
 
 def _wanted(tile: pa.Table, blocks: pa.Table, dim: int) -> np.ndarray:
@@ -340,7 +340,7 @@ def _scored(tile: pa.Table, blocks: pa.Table) -> Iterator[tuple[int, np.ndarray,
     if not len(reading):
         return
     vectors = np.concatenate([
-        _unpack(data, len(mine) * dim).reshape(-1, dim)
+        _unpack(data, len(mine) * dim).reshape(len(mine), dim)
         for data, mine in zip(blocks.column("q").to_pylist(), ids, strict=True)
     ])
     owner = np.repeat(np.arange(len(ids)), [len(mine) for mine in ids])
