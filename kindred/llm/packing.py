@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -25,9 +26,12 @@ from kindred.llm.slices import slices, texts_of, with_small_batches
 #: Remainders and bytes of identifiers that a buffer holds at most (one longer document aside).
 BUFFER_ROWS, BUFFER_BYTES = 8_192, 8_000_000
 #: Parts and words kept per worker process; it bounds memory and changes no result.
-CACHE_ENTRIES = 80_000
+CACHE_ENTRIES = 120_000
 #: Characters of the longest part that is kept.
 LONGEST_KEPT = 64
+#: Stands between parts while they are encoded; no identifier.
+_NO_ID = 0xFFFFFFFF
+_BREAK = _NO_ID.to_bytes(4, "little")
 #: Text parts that one call of the tokenizer gets.
 PARTS_AT_ONCE = 20_000
 
@@ -84,63 +88,69 @@ class Encoder:
         self.vocabulary = wordpieces.load(path)
         self.model = Tokenizer(self.whole.model)  # merges alone, for words already split
         symbols = wordpieces.byte_symbols()
-        self.symbols = {byte: symbols[byte] for byte in range(256)}
+        self.symbols = {byte: symbols[byte] for byte in range(256) if byte != 10}
+        self.pieces = regex.compile(self.vocabulary.pattern.pattern + r"|\n", self.vocabulary.pattern.flags)
         self.ends = np.zeros(self.whole.get_vocab_size(), bool)
         for token, number in self.whole.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
-        self.parts: dict[str, bytes] = {}
-        self.older_parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        # words and parts alike: a word standing alone is a part with the same identifiers
+        self.known: dict[str, bytes] = {"\n": _BREAK}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.split() if wordpieces.simple(text) else None for text in texts]
-        if len(self.parts) >= CACHE_ENTRIES:
-            self.older_parts, self.parts = self.parts, {}
-        known, older = self.parts, self.older_parts
-        missing = []
-        for part in set().union(*(parts for parts in split if parts)).difference(known):
-            value = older.get(part)
-            if value is None:
-                missing.append(part)
-            else:
-                known[part] = value
+        if len(self.known) >= CACHE_ENTRIES:
+            self.older, self.known = self.known, {"\n": _BREAK}
+        missing = self._missing(set().union(*(parts for parts in split if parts)))
         for start in range(0, len(missing), PARTS_AT_ONCE):
             self._learn(missing[start : start + PARTS_AT_ONCE])
+        known = self.known
         result = [
             self._whole(text) if parts is None else b"".join(map(known.__getitem__, parts))
             for text, parts in zip(texts, split, strict=True)
         ]
         for part in missing:
             if len(part) > LONGEST_KEPT:
-                del known[part]
+                known.pop(part, None)
         return result
 
+    def _missing(self, wanted: set[str]) -> list[str]:
+        """Those of ``wanted`` that neither store knows; the older one's entries move over."""
+        wanted = wanted.difference(self.known)
+        met = wanted.intersection(self.older)
+        self.known.update(zip(met, map(self.older.__getitem__, met), strict=True))
+        return list(wanted.difference(met))
+
     def _whole(self, text: str) -> bytes:
         ids = self.whole.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def _learn(self, parts: list[str]) -> None:
-        """Add ``parts`` to the known ones."""
-        split = [self.vocabulary.words(part) for part in parts]
-        if len(self.words) >= CACHE_ENTRIES:
-            self.words = {}
-        new = list(set().union(*split).difference(self.words))
-        mapped = [word.encode("utf-8").decode("latin-1").translate(self.symbols) for word in new]
-        if mapped:
+        """Add ``parts`` to the known ones; one pass over all of them for every step."""
+        plain = [part for part in parts if part.isalpha() and part.isascii() and part.islower()]
+        others = list(set(parts).difference(plain))
+        pieces = self.pieces.findall(self.vocabulary.normalised("\n".join(others)))
+        new = self._missing(set(plain).union(pieces))
+        known = self.known
+        if new:
+            # line feeds stand in no word and have no symbol, so they keep the words apart
+            symbols = "\n".join(new).encode("utf-8").decode("latin-1").translate(self.symbols)
             found = self.model.encode_batch_fast(
-                [mapped], is_pretokenized=True, add_special_tokens=False
+                [symbols.split("\n")], is_pretokenized=True, add_special_tokens=False
             )
             ids = np.array(found[0].ids, "<u4")
             packed = ids.tobytes()
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            starts = [0, *ends[:-1]]
-            self.words.update(
-                (word, packed[a:b]) for word, a, b in zip(new, starts, ends, strict=True)
+            known.update(
+                (word, packed[a:b]) for word, a, b in zip(new, [0, *ends[:-1]], ends, strict=True)
+            )
+        if others:
+            packed = b"".join(map(known.__getitem__, pieces))
+            breaks = 4 * np.flatnonzero(np.frombuffer(packed, "<u4") == _NO_ID)
+            starts, ends = [0, *(breaks + 4).tolist()], [*breaks.tolist(), len(packed)]
+            known.update(
+                (part, packed[a:b]) for part, a, b in zip(others, starts, ends, strict=True)
             )
-        of_word = self.words.__getitem__
-        self.parts.update(
-            (part, b"".join(map(of_word, words))) for part, words in zip(parts, split, strict=True)
-        )
 
 
 @lru_cache(maxsize=2)

@@ -43,9 +43,11 @@ class Vocabulary:
 
     def words(self, text: str) -> list[str]:
         """The pieces of a text without special strings."""
-        text = unicodedata.normalize("NFC", text)
-        lowered = text.replace("Σ", "σ").lower()
-        return self.pattern.findall(lowered)
+        return self.pattern.findall(self.normalised(text))
+
+    def normalised(self, text: str) -> str:
+        """Composed and in lower case."""
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
 @lru_cache(maxsize=4)
