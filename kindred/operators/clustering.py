@@ -1,8 +1,14 @@
 """k-medoids on weighted distinct vectors, euclidean distance, deterministic.
 
 A fit alternates two linear steps and one exact medoid search. Spark holds the
-points; the driver holds only the medoids (at most the sum of the wanted ks), so
-no lineage builds up over iterations. Several ks are fitted in the same passes.
+points; the driver holds only the medoids (at most the sum of the wanted ks) and a
+bounded number of tried members, so no lineage builds up over iterations. Several ks
+are fitted in the same passes.
+
+The medoid search rests on the triangle inequality: a member at distance d from a member
+whose summed distance over weight W is s has a summed distance of at least ``|s - W d|``.
+A few members of the lowest bounds are tried in linear passes, their sums bound all others,
+and only members whose bound stays below the best sum are compared with their cluster.
 """
 
 from __future__ import annotations
@@ -23,6 +29,9 @@ ELBOW_KS = tuple(range(1, 21))
 FINAL_K = 5
 # Distances are compared at this many decimals, so that summation order cannot decide a tie.
 DECIMALS = 9
+# Members of a cluster that a pass tries, and pairs that are compared without trying any first.
+TRIES = 8
+PAIRS_AT_ONCE = 20_000_000
 
 
 @dataclass(frozen=True)
@@ -134,26 +143,130 @@ def _summaries(points: DataFrame, fits: Mapping[int, Medoids]) -> dict[tuple[int
     sums = points.select("vector", "weight").mapInPandas(summarise, schema)
     scalars = ("members", "weight", "cost")
     rows = (
-        sums.select("k", "label", *scalars, F.posexplode("total").alias("axis", "x"))
+        sums.select("k", "label", *scalars, F.posexplode_outer("total").alias("axis", "x"))
         .groupBy("k", "label", "axis")
         .agg(*[F.sum(name).alias(name) for name in scalars], F.sum("x").alias("x"))
+        .groupBy("k", "label")
+        .agg(
+            *[F.max(name).alias(name) for name in scalars],
+            F.sort_array(F.collect_list(F.struct("axis", "x"))).alias("total"),
+        )
         .collect()
     )
-    summaries: dict[tuple[int, int], Summary] = {}
-    for row in sorted(rows, key=lambda row: row["axis"]):
-        summary = summaries.setdefault(
-            (row["k"], row["label"]), Summary(row["members"], row["weight"], row["cost"], [])
+    return {
+        (row["k"], row["label"]): Summary(
+            row["members"], row["weight"], row["cost"],
+            [axis["x"] / row["weight"] for axis in row["total"] if axis["axis"] is not None],
         )
-        summary.mean.append(row["x"] / row["weight"])
-    return summaries
+        for row in rows
+    }
+
+
+@dataclass
+class Search:
+    """What is known about one cluster's medoid: tried members, their sums, and the best one."""
+
+    summary: Summary
+    vectors: np.ndarray
+    sums: np.ndarray
+
+    @property
+    def limit(self) -> float:
+        """The best sum so far, and what rounding may add to it: a tie must stay open."""
+        return float(self.sums.min()) * (1 + 1e-9) + 2 * 10.0 ** -(DECIMALS - 3)
+
+    def bounds(self, points: np.ndarray) -> np.ndarray:
+        """Least summed distance that each of ``points`` can have."""
+        weight = self.summary.weight
+        away = weight * _distances(points, np.array([self.summary.mean]))[:, 0]
+        for vector, total in zip(self.vectors, self.sums, strict=True):
+            gap = weight * _distances(points, vector[None])[:, 0]
+            away = np.maximum(away, np.abs(total - gap))
+        return away
+
+    def tried(self, vectors: Sequence, sums: Sequence[float]) -> None:
+        self.vectors = np.vstack([self.vectors, np.array(vectors, dtype=np.float64)])
+        self.sums = np.append(self.sums, sums)
+
+
+def _lowest_bounds(
+    points: DataFrame, fits: Mapping[int, Medoids], searches: Mapping[tuple[int, int], Search]
+) -> tuple[dict[tuple[int, int], int], dict[tuple[int, int], list]]:
+    """Per cluster, how many members can still be the medoid, and ``TRIES`` of low bounds."""
+    frozen = dict(searches)
+
+    def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            matrix = _matrix(batch["vector"])
+            for k, medoids in fits.items():
+                labels, _ = medoids.nearest(matrix)
+                for label in np.unique(labels):
+                    search = frozen[k, int(label)]
+                    mine = np.flatnonzero(labels == label)
+                    bounds = search.bounds(matrix[mine])
+                    still = bounds <= search.limit
+                    order = np.argsort(bounds[still], kind="stable")[:TRIES]
+                    chosen = mine[still][order]
+                    yield pd.DataFrame({
+                        "k": k, "label": label, "left": still.sum(), "place": np.arange(len(chosen)),
+                        "bound": bounds[still][order], "vector": list(batch["vector"].iloc[chosen]),
+                    })
+
+    schema = "k int, label int, left bigint, place int, bound double, vector array<double>"
+    # per place in a batch, the lowest bound of all batches: TRIES rows a cluster, combined
+    # before the shuffle; a batch tells how many members it has left in its first row
+    rows = points.select("vector").mapInPandas(bound, schema).groupBy("k", "label", "place").agg(
+        F.sum("left").alias("left"), F.min(F.struct("bound", "vector")).alias("lowest")
+    ).collect()
+    left: dict[tuple[int, int], int] = {}
+    tries: dict[tuple[int, int], list] = {}
+    for row in rows:
+        key = row["k"], row["label"]
+        left[key] = left.get(key, 0) + (row["left"] if row["place"] == 0 else 0)
+        tries.setdefault(key, []).append(row["lowest"]["vector"])
+    return left, tries
+
+
+def _try(
+    points: DataFrame, fits: Mapping[int, Medoids], searches: Mapping[tuple[int, int], Search],
+    tries: Mapping[tuple[int, int], list],
+) -> None:
+    """Add the summed distances of ``tries`` to ``searches``; one linear pass."""
+    chosen = {key: np.array(vectors, dtype=np.float64) for key, vectors in tries.items() if vectors}
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            matrix, weights = _matrix(batch["vector"]), batch["weight"].to_numpy()
+            for k, medoids in fits.items():
+                labels, _ = medoids.nearest(matrix)
+                for label in np.unique(labels):
+                    vectors = chosen.get((k, int(label)))
+                    if vectors is not None:
+                        mine = labels == label
+                        sums = weights[mine] @ _distances(matrix[mine], vectors)
+                        yield pd.DataFrame({
+                            "k": k, "label": label, "place": np.arange(len(sums)), "total": sums,
+                        })
+
+    sums = points.select("vector", "weight").mapInPandas(
+        add_up, "k int, label int, place int, total double"
+    )
+    for row in sums.groupBy("k", "label", "place").agg(F.sum("total").alias("total")).collect():
+        key = row["k"], row["label"]
+        searches[key].tried([chosen[key][row["place"]]], [row["total"]])
 
 
 def _members(
     points: DataFrame,
     fits: Mapping[int, Medoids],
-    summaries: Mapping[tuple[int, int], Summary] | None = None,
+    searches: Mapping[tuple[int, int], Search] | None = None,
 ) -> DataFrame:
-    """Points with their (k, label). With ``summaries``, only those that can be a medoid."""
+    """Points with their (k, label). With ``searches``, only those that can be a medoid."""
+    frozen = None if searches is None else dict(searches)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -163,12 +276,10 @@ def _members(
             for k, medoids in fits.items():
                 labels, _ = medoids.nearest(matrix)
                 possible = np.ones(len(batch), dtype=bool)
-                for label in np.unique(labels) if summaries is not None else ():
-                    summary = summaries[k, label]
+                for label in np.unique(labels) if frozen is not None else ():
+                    search = frozen[k, int(label)]
                     mine = labels == label
-                    away = _distances(matrix[mine], np.array([summary.mean]))[:, 0]
-                    limit = summary.cost / summary.weight
-                    possible[mine] = away <= limit * (1 + 1e-9) + 1e-8
+                    possible[mine] = search.bounds(matrix[mine]) <= search.limit
                 yield batch.assign(k=k, label=labels)[possible]
 
     kind = points.schema["point_id"].dataType.simpleString()
@@ -209,18 +320,20 @@ def kmedoids_update(
 ) -> DataFrame:
     """``(k, label, point_id, cost)``: the member with the least summed distance per cluster.
 
-    ``points`` are weighted points. A member's mean distance to its cluster is at
-    least its distance to the cluster's mean, so a member farther from the mean
-    than the current medoid's mean distance cannot win and is not tried. The rest
-    are compared with all members in tiles. Ties go to the smaller id.
+    ``points`` are weighted points. Members are ruled out by the bounds of :class:`Search`,
+    at first those of the current medoid and of the mean; while more pairs than
+    ``PAIRS_AT_ONCE`` are left and trying members still rules out more pairs than it compares,
+    ``TRIES`` more of a cluster are tried. The rest are compared with all members in tiles, so
+    the result is exact whatever the bounds do. Ties go to the smaller id.
     """
-    summaries = _summaries(points, fits)
+    searches = open_searches(points, fits)
+    narrow(points, fits, searches)
     sizes = local_table(
         points.sparkSession,
-        [(k, label, each.members, each.members) for (k, label), each in summaries.items()],
+        [(k, label, each.summary.members, each.summary.members) for (k, label), each in searches.items()],
         "k int, label int, lefts bigint, rights bigint",
     )
-    candidates, members = _members(points, fits, summaries), _members(points, fits)
+    candidates, members = _members(points, fits, searches), _members(points, fits)
     costs = candidate_costs(candidates, members, chunk_rows, sizes)
     best = F.min(F.struct("cost", "point_id")).alias("_best")
     return costs.groupBy("k", "label").agg(best).select(
@@ -228,14 +341,44 @@ def kmedoids_update(
     )
 
 
+def open_searches(
+    points: DataFrame, fits: Mapping[int, Medoids]
+) -> dict[tuple[int, int], Search]:
+    """One search per cluster; the current medoid counts as tried."""
+    return {
+        (k, label): Search(summary, fits[k].vectors[[label]], np.array([summary.cost]))
+        for (k, label), summary in _summaries(points, fits).items()
+    }
+
+
+def narrow(
+    points: DataFrame, fits: Mapping[int, Medoids], searches: Mapping[tuple[int, int], Search],
+    pairs_at_once: int | None = None,
+) -> list[int]:
+    """Try members while it pays; returns the pairs left to compare before each round."""
+    most = PAIRS_AT_ONCE if pairs_at_once is None else pairs_at_once
+    pairs: list[int] = []
+    if sum(each.summary.members ** 2 for each in searches.values()) <= most:
+        return pairs
+    while True:
+        left, tries = _lowest_bounds(points, fits, searches)
+        pairs.append(sum(n * searches[key].summary.members for key, n in left.items()))
+        # distances that another round takes, to the tried members and to the new ones
+        cost = sum(each.summary.members * (len(each.sums) + TRIES) for each in searches.values())
+        if pairs[-1] <= most or (len(pairs) > 1 and pairs[-2] - pairs[-1] < cost):
+            return pairs
+        _try(points, fits, searches, tries)
+
+
 def farthest_first(points: DataFrame, count: int) -> list[tuple]:
-    """``count`` seed points: the one with the smallest id hash, then always the farthest one.
+    """``count`` seed points: the one with the smallest MD5 of its id, then always the farthest one.
 
     One pass per seed; a batch returns only its farthest point. Fewer seeds come
     back when there are fewer distinct points.
     """
     first = points.agg(
-        F.min(F.struct(F.xxhash64("point_id").alias("hash"), "point_id", "vector")).alias("seed")
+        F.min(F.struct(F.md5(F.col("point_id").cast("string")).alias("hash"), "point_id", "vector"))
+        .alias("seed")
     ).first()["seed"]
     if first is None:
         raise ValueError("no points to cluster")

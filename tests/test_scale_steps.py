@@ -273,6 +273,32 @@ def test_update_equals_brute_force(spark, chunk_rows):
         assert (row["cost"], row["point_id"]) == (pytest.approx(winner[0]), winner[1])
 
 
+def test_bounds_leave_few_members_and_the_right_one(spark, monkeypatch):
+    """Two dimensions: a few tried members rule out nearly all others; the medoid is exact."""
+    rng = np.random.default_rng(9)
+    data = np.concatenate([rng.normal(size=(1500, 2)), rng.normal(6, 2, size=(500, 2))])
+    points = C.weighted_points(points_of(spark, data.tolist())).repartition(6)
+    medoids = C.Medoids.of([(0, data[0].tolist()), (1999, data[1999].tolist())])
+    fits = {2: medoids}
+    searches = C.open_searches(points, fits)
+    pairs = C.narrow(points, fits, searches, pairs_at_once=0)
+    assert len(pairs) > 2 and pairs[-1] < pairs[0] / 2
+    labels, _ = medoids.nearest(data)
+    possible = {row["point_id"] for row in C._members(points, fits, searches).collect()}
+    for label in (0, 1):
+        mine = np.flatnonzero(labels == label)
+        costs = C._distances(data[mine], data[mine]).sum(axis=1)
+        search = searches[2, label]
+        assert (search.bounds(data[mine]) <= costs + 1e-6).all()
+        assert mine[costs.argmin()] in possible
+        assert len(possible & set(mine.tolist())) < len(mine) / 2
+    monkeypatch.setattr(C, "PAIRS_AT_ONCE", 0)
+    found = {row["label"]: row["point_id"] for row in C.kmedoids_update(points, fits).collect()}
+    for label, point in found.items():
+        mine = np.flatnonzero(labels == label)
+        assert point == mine[C._distances(data[mine], data[mine]).sum(axis=1).argmin()]
+
+
 def test_fit_is_repeatable(spark):
     rng = np.random.default_rng(6)
     points = C.weighted_points(points_of(spark, rng.normal(size=(200, 4)).tolist()))

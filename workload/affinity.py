@@ -571,7 +571,70 @@ def kmedoids_update(v: Views) -> DataFrame:
     )
 
 
-@query("kmedoids_fit")
+def fit_sql(scaled: str, ks: str, rest: str) -> str:
+    """SQL of whole fits for every k of the list ``ks``, then ``rest`` over their results.
+
+    ``scaled`` gives ``id, x`` per product. ``fitted`` has ``k, medoids``; ``d`` the distances
+    between distinct vectors ``a`` and ``b``, ``w`` the products behind ``b``.
+    """
+    return f"""WITH RECURSIVE z AS ({scaled}),
+p AS MATERIALIZED (SELECT min(id) AS id, x, count(*) AS w FROM z GROUP BY x),
+d AS MATERIALIZED (
+    SELECT a.id AS a, b.id AS b, b.w, list_distance(a.x, b.x) AS raw, round(raw, 9) AS dist FROM p a, p b
+),
+seeds(n, ids) AS (
+    SELECT 1, [arg_min(id, (md5(CAST(id AS VARCHAR)), id))] FROM p
+    UNION ALL
+    SELECT n + 1, list_append(ids, pick) FROM (
+        SELECT n, ids, arg_min(b, (-gap, b)) AS pick, max(gap) AS farthest FROM (
+            SELECT s.n, s.ids, d.b, min(d.dist) AS gap
+            FROM (SELECT n, ids, unnest(ids) AS seed FROM seeds) s JOIN d ON d.a = s.seed GROUP BY ALL
+        ) GROUP BY n, ids
+    ) WHERE farthest > 0 AND n < list_max({ks})
+),
+fit(k, n, medoids, cost, moving) AS (
+    SELECT k, 0, list_sort(ids), NULL::DOUBLE, true
+    FROM (SELECT unnest({ks}) AS k) JOIN seeds ON n = least(k, (SELECT max(n) FROM seeds))
+    UNION ALL
+    (
+        WITH labelled AS (
+            SELECT k, n, medoids, cost, b, arg_min(m, (dist, m)) AS m
+            FROM (SELECT *, unnest(medoids) AS m FROM fit WHERE moving) JOIN d ON a = m GROUP BY ALL
+        ), costs AS (
+            SELECT l.k, l.n, l.medoids, l.cost, l.m, l.b AS c, round(sum(d.raw * d.w), 6) AS total
+            FROM labelled l JOIN labelled r ON l.k = r.k AND l.m = r.m
+            JOIN d ON d.a = l.b AND d.b = r.b GROUP BY ALL
+        ), best AS (
+            SELECT k, n, medoids, cost, m, arg_min(c, (total, c)) AS c, min(total) AS total
+            FROM costs GROUP BY ALL
+        ), next AS (
+            SELECT k, n, medoids, cost, list_sort(list(c)) AS found, round(sum(total), 6) AS total
+            FROM best GROUP BY ALL
+        )
+        SELECT k, n + 1, found, total, found <> medoids AND (cost IS NULL OR total < cost) FROM next
+    )
+),
+fitted AS (SELECT k, medoids FROM fit QUALIFY row_number() OVER (PARTITION BY k ORDER BY n DESC) = 1),
+placed AS (
+    SELECT k, b AS id, any_value(w) AS w, arg_min(m, (dist, m)) AS medoid_id, min(dist) AS distance
+    FROM (SELECT k, unnest(medoids) AS m FROM fitted) JOIN d ON a = m GROUP BY k, b
+)
+{rest}"""
+
+
+_SCALED_VOTES = "SELECT product_id AS id, [" + ", ".join(
+    f"coalesce(({k} - avg({k}) OVER ()) / nullif(stddev_pop({k}) OVER (), 0), 0)" for k in VOTE_KEYS
+) + "] AS x FROM v_daily"
+
+
+@query(
+    "kmedoids_fit",
+    fit_sql(
+        _SCALED_VOTES, f"[{C.FINAL_K}]",
+        "SELECT medoid_id, sum(w)::BIGINT AS n, round(sum(distance * w), 6) AS cost FROM placed"
+        " GROUP BY medoid_id",
+    ),
+)
 def kmedoids_fit(v: Views) -> DataFrame:
     vectors = _scaled_votes(v)
     fit = C.kmedoids_fit(C.weighted_points(vectors), (C.FINAL_K,))[C.FINAL_K]
@@ -581,7 +644,13 @@ def kmedoids_fit(v: Views) -> DataFrame:
     )
 
 
-@query("elbow_inertia")
+@query(
+    "elbow_inertia",
+    fit_sql(
+        _SCALED_VOTES, f"{list(C.ELBOW_KS)}",
+        "SELECT k::BIGINT AS k, round(sum(distance * w), 6) AS inertia FROM placed GROUP BY k",
+    ),
+)
 def elbow_inertia(v: Views) -> DataFrame:
     curve = C.elbow_inertia(C.weighted_points(_scaled_votes(v)))
     return curve.withColumn("inertia", F.round("inertia", 6))

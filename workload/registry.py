@@ -28,8 +28,9 @@ def with_views(body: str) -> str:
     visit(body)
     if not ordered:
         return body
-    views = "WITH " + ",\n".join(f"{n} AS ({SQL_VIEWS[n]})" for n in ordered)
-    own = body.removeprefix("WITH ")
+    start = "WITH RECURSIVE " if body.startswith("WITH RECURSIVE ") else "WITH "
+    views = start + ",\n".join(f"{n} AS ({SQL_VIEWS[n]})" for n in ordered)
+    own = body.removeprefix(start)
     return f"{views}\n{body}" if own == body else f"{views},\n{own}"
 
 
