@@ -1,4 +1,8 @@
-"""Matching two catalogues: same brand, a shared name token, nearest vector."""
+"""Matching two catalogues: same brand, a shared name token, nearest vector.
+
+A product's vector is sent to the tiles of its brand and its cell (the nearest pivot), once
+each and not once per token. Names are compared inside the tile, as bit masks.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ from kindred.functions.text import (
     jaccard_similarity,
     token_set,
 )
-from kindred.operators.tiles import DEFAULT_CHUNK_ROWS, reduce_tiles
+from kindred.operators.tiles import DEFAULT_CHUNK_ROWS, reduce_near_tiles
 
 # Fixed value: smallest cosine of a match.
 MATCH_THRESHOLD = 0.9
@@ -51,30 +55,50 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
     return np.divide(rows, lengths, out=np.zeros_like(rows), where=lengths > 0)
 
 
-def _nearest(threshold: float | None):
+def _token_masks(left: pd.Series, right: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """A bit per token that both sides of a tile have, packed in 64-bit words, per row."""
+    sides = [[set(tokens) for tokens in side] for side in (left, right)]
+    both = set().union(*sides[0]) & set().union(*sides[1])
+    place = {token: at for at, token in enumerate(sorted(both))}
+    masks = []
+    for side in sides:
+        mask = np.zeros((len(side), -(-len(place) // 64) or 1), np.uint64)
+        for row, tokens in enumerate(side):
+            for token in tokens & both:
+                at = place[token]
+                mask[row, at >> 6] |= np.uint64(1 << (at & 63))
+        masks.append(mask)
+    return masks[0], masks[1]
+
+
+def _nearest(threshold: float | None, share_token: bool):
     """Tile reducer: the best partner of each left row, if it reaches the threshold."""
 
     def reducer(_key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        names = ["left_id", "right_id", "sim", "left_brand", "left_name", "right_name"]
         if left.empty or right.empty:
-            return pd.DataFrame({"left_id": left["id"][:0], "right_id": right["id"][:0], "sim": []})
-        right = right.sort_values("id", ignore_index=True)
+            return pd.DataFrame({name: [] for name in names})
+        right = right.sort_values(["id", "name_cleaned"], ignore_index=True)
         partners = _unit_rows(right["vector"])
+        own, theirs = _token_masks(left["tokens"], right["tokens"]) if share_token else (None, None)
         found = []
         for start in range(0, len(left), _BLOCK_ROWS):
             block = left.iloc[start : start + _BLOCK_ROWS]
             sims = np.round(_unit_rows(block["vector"]) @ partners.T, DECIMALS)
-            best = sims.argmax(axis=1)  # first of equals, so the smallest id
-            found.append(
-                pd.DataFrame(
-                    {
-                        "left_id": block["id"].to_numpy(),
-                        "right_id": right["id"].to_numpy()[best],
-                        "sim": sims[np.arange(len(block)), best],
-                    }
-                )
-            )
+            if share_token:
+                share = np.zeros(sims.shape, bool)
+                for word in range(own.shape[1]):
+                    share |= (own[start : start + len(block), word, None] & theirs[None, :, word]) != 0
+                sims[~share] = -np.inf
+            best = sims.argmax(axis=1)  # first of equals, so the smallest id, then name
+            chosen = right.iloc[best]
+            found.append(pd.DataFrame(dict(zip(names, (
+                block["id"].to_numpy(), chosen["id"].to_numpy(), sims[np.arange(len(block)), best],
+                block["brand"].to_numpy(), block["name_cleaned"].to_numpy(),
+                chosen["name_cleaned"].to_numpy(),
+            ), strict=True))))
         result = pd.concat(found)
-        return result if threshold is None else result[result["sim"] >= threshold]
+        return result[result["sim"] >= (-2.0 if threshold is None else threshold)]
 
     return reducer
 
@@ -88,29 +112,34 @@ def nearest_in_block(
 ) -> DataFrame:
     """For each left product, its nearest right product of the same brand.
 
-    Sides come from :func:`catalogue_side`. With ``share_token`` the two names must
-    share a token, which is the same as a name similarity above 0: the token is
-    part of the blocking key, so pairs without one are never compared. Equal
-    vectors within a key collapse to the smallest id first; no other can win. Ties
-    go to the smaller right id. Returns ``left_id, right_id, sim``.
+    Sides come from :func:`catalogue_side`. With ``share_token`` the two names must share a
+    token, which is the same as a name similarity above 0; bit masks of the tile's tokens tell.
+    Tiles of a brand whose angles to common pivots rule out the threshold are never built. A
+    product may have several rows (names, vectors, brands); the best pair of rows counts, ties
+    go to the smaller right id, then left name, right name and left brand. Returns
+    ``left_id, right_id, sim, left_brand, left_name, right_name`` of that pair.
 
-    Keeping the maximum and then applying the threshold equals applying the
-    threshold first, so a tile returns at most one row per left product.
+    Keeping the maximum and then applying the threshold equals applying the threshold
+    first, so a tile returns at most one row per left row.
     """
-    keys = ["brand_key"]
+    columns = ["id", "brand", "brand_key", "name_cleaned", "vector"]
+    sides = [side.select(*columns) for side in (left, right)]
     if share_token:
-        keys.append("token")
-        left = left.withColumn("token", F.explode(token_set(F.col("name_cleaned"))))
-        right = right.withColumn("token", F.explode(token_set(F.col("name_cleaned"))))
-    left = left.select("id", *keys, "vector")
-    right = right.groupBy(*keys, "vector").agg(F.min("id").alias("id"))
+        sides = [side.withColumn("tokens", token_set(F.col("name_cleaned"))) for side in sides]
     ids = f"left_id {left.schema['id'].dataType.simpleString()}, " \
           f"right_id {right.schema['id'].dataType.simpleString()}"
-    tiles = reduce_tiles(
-        left, right, keys, "id", "id", _nearest(threshold), f"{ids}, sim double", chunk_rows
+    brand = left.schema["brand"].dataType.simpleString()
+    tiles = reduce_near_tiles(
+        *sides, ["brand_key"], "id", "vector", _nearest(threshold, share_token),
+        f"{ids}, sim double, left_brand {brand}, left_name string, right_name string",
+        threshold, chunk_rows,
+    )
+    order = ["right_id", "left_name", "right_name", "left_brand"]
+    best = F.min(F.struct((-F.col("sim")).alias("cost"), *order, "sim")).alias("_best")
+    return tiles.groupBy("left_id").agg(best).select(
+        "left_id", "_best.right_id", "_best.sim", "_best.left_brand", "_best.left_name",
+        "_best.right_name",
     )
-    best = F.min(F.struct((-F.col("sim")).alias("cost"), "right_id", "sim")).alias("_best")
-    return tiles.groupBy("left_id").agg(best).select("left_id", "_best.right_id", "_best.sim")
 
 
 def match_catalogues(
@@ -119,24 +148,13 @@ def match_catalogues(
     threshold: float = MATCH_THRESHOLD,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
-    """Best match per left product, with vector and name similarity.
+    """Best match per left product, with vector and name similarity of the rows that matched.
 
     One row per product, however often it stands in ``left`` or its match in ``right``.
     Returns ``left_id, right_id, vector_sim, name_sim, left_brand, left_name, right_name``.
     """
     best = nearest_in_block(left, right, threshold, True, chunk_rows)
-    # a product may stand in a side more than once (repeated rows, several aliases)
-    left_first = left.groupBy("id").agg(F.min(F.struct("brand", "name_cleaned")).alias("_first"))
-    left_names = left_first.select(
-        F.col("id").alias("left_id"),
-        F.col("_first.brand").alias("left_brand"),
-        F.col("_first.name_cleaned").alias("left_name"),
-    )
-    right_names = right.groupBy(F.col("id").alias("right_id")).agg(
-        F.min("name_cleaned").alias("right_name")
-    )
-    named = best.join(left_names, "left_id").join(right_names, "right_id")
-    return named.select(
+    return best.select(
         "left_id",
         "right_id",
         F.col("sim").alias("vector_sim"),

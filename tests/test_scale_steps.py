@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.operators import clustering as C
 from kindred.operators import matching as M
+from kindred.operators import tiles
 from kindred.operators import ranking as R
 from kindred.operators.numbering import number_rows
 from kindred.operators.tiles import reduce_tiles
@@ -154,6 +155,78 @@ def test_nearest_without_name_or_threshold(spark):
     assert rows(best, "*") == [("a", "2", 0.0)]
 
 
+def test_names_are_those_of_the_rows_that_matched(spark):
+    schema = "id string, brand string, name string, vector array<double>"
+    internal = spark.createDataFrame(
+        [("p", "b", "rose water", [1.0, 0.0]), ("p", "b", "plum", [1.0, 0.0])], schema
+    )
+    external = spark.createDataFrame(
+        [("x", "b", "amber oil", [1.0, 0.0]), ("x", "b", "rose water", [1.0, 0.0]),
+         ("y", "b", "rose", [0.9, 0.1])], schema.replace("brand", "company"),
+    )
+    found = match_pipeline(internal, external).collect()
+    assert [tuple(row) for row in found] == [
+        ("p", "b", "rose water", "x", "rose water", 1.0, 1.0)
+    ]
+
+
+def test_tiles_below_the_threshold_are_not_built(spark):
+    """Four tight directions: only cells of one direction can hold a match."""
+    rng = np.random.default_rng(3)
+    data = [np.eye(4)[i % 4] + rng.normal(0, 0.02, 4) for i in range(400)]
+    schema = "id int, brand_key string, vector array<double>"
+    both = [
+        spark.createDataFrame([(i, "hot", v.tolist()) for i, v in enumerate(data) if i % 2 == odd], schema)
+        for odd in (0, 1)
+    ]
+    pivots = tiles.pivot_vectors(both[1].unionByName(both[0]), "id", "vector")
+    placed = [tiles.with_angles(side, "vector", pivots) for side in both]
+    every = tiles.near_cells(*placed, ["brand_key"], None, len(pivots), 64).count()
+    near = tiles.near_cells(*placed, ["brand_key"], 0.9, len(pivots), 64).collect()
+    assert len(near) < every / 2
+    allowed = {(row["_lcell"], row["_rcell"]) for row in near}
+    cells = [{r["id"]: r["_cell"] for r in side.collect()} for side in placed]
+    unit = np.array(data) / np.linalg.norm(data, axis=1, keepdims=True)
+    for a, left in cells[0].items():
+        for b, right in cells[1].items():
+            assert unit[a] @ unit[b] < 0.9 or (left, right) in allowed
+
+
+def test_hot_and_blank_brands_equal_brute_force(spark):
+    rng = np.random.default_rng(12)
+    words = ["oud", "rose", "musk", "amber", "sea", "salt"]
+
+    def side(start, count):
+        return [
+            (start + i, ["hot", "hot", "", None, "Rare"][i % 5],
+             " ".join(rng.choice(words, rng.integers(0, 3), replace=False)),
+             rng.integers(-2, 3, 3).astype(float).tolist())
+            for i in range(count)
+        ]
+
+    left, right = side(0, 160), side(1000, 170)
+    schema = "id int, brand string, name string, vector array<double>"
+    sides = [
+        M.catalogue_side(spark.createDataFrame(rows_, schema).repartition(3), "id", "brand", "name", "vector")
+        for rows_ in (left, right)
+    ]
+    found = {r["left_id"]: (r["right_id"], round(r["sim"], 9))
+             for r in M.nearest_in_block(*sides, 0.5, True, 16).collect()}
+    expected = {}
+    for i, brand, name, vector in left:
+        options = []
+        for j, other, theirs, partner in right:
+            lengths = np.linalg.norm(vector) * np.linalg.norm(partner)
+            sim = np.dot(vector, partner) / lengths if lengths else 0.0
+            if (brand or "").lower() == (other or "").lower() and set(name.split()) & set(theirs.split()):
+                if round(sim, 12) >= 0.5:
+                    options.append((-round(sim, 12), j))
+        if options:
+            sim, j = min(options)
+            expected[i] = (j, round(-sim, 9))
+    assert found == expected
+
+
 def test_matching_plan_has_no_pairs(spark):
     internal = catalogue(spark, 1, 30, ["A", "B"])
     external = internal.withColumnRenamed("brand", "company")
