@@ -36,11 +36,36 @@ SYMBOLS_AT_ONCE, ROUNDS_AT_ONCE = 250_000, 8
 #: Bytes that DuckDB may use, and those that it may use besides for each symbol of a query.
 MEMORY, MEMORY_A_SYMBOL = 250_000_000, 1_000
 
+# A pair's score is its rank (17 bits), its place (34 bits) and the length of its left token
+# (12 bits): the smallest score of a word names the pair to contract and the row that goes.
+_ENCODE_SHORT = """
+WITH RECURSIVE step(n, w, p, q, t) AS (
+    SELECT 0, w, p, q, t FROM symbols
+    UNION ALL
+    (
+        WITH scored AS MATERIALIZED (
+            SELECT a.w, b.q AS q2, m.rank,
+                   m.rank * (1::BIGINT << 46) + a.p * 4096 + (a.q - a.p) AS score
+            FROM step a JOIN step b ON a.q = b.p
+            JOIN merges m ON m.pair = a.t * width() + b.t
+        ), best AS MATERIALIZED (
+            SELECT w, (min(score) >> 12) & ((1::BIGINT << 34) - 1) AS spot,
+                   spot + (min(score) & 4095) AS gone,
+                   arg_min(q2, score) AS q2, arg_min(rank, score) AS rank
+            FROM scored GROUP BY w
+        )
+        SELECT n + 1, w, p, if(p = spot, q2, q), if(p = spot, rank, t)
+        FROM step JOIN best USING (w) WHERE n < {rounds} AND p <> gone
+    )
+)
+SELECT w, p, q, t, n FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n)
+ORDER BY p
+"""
+
 # ``many`` ranks cannot give rise to a pair of the same or a lower rank, so what follows the
 # leftmost pair is to contract it again further right: a round contracts all of them, every
 # second one where they overlap. Of other ranks a round contracts the leftmost pair alone.
-# Only the last state of a word counts, and only {rounds} states are ever held.
-_ENCODE = """
+_ENCODE_LONG = """
 WITH RECURSIVE step(n, w, p, q, t) AS (
     SELECT 0, w, p, q, t FROM symbols
     UNION ALL
@@ -148,10 +173,12 @@ class Codec:
         self.database.execute(
             f"SET memory_limit = '{(MEMORY + MEMORY_A_SYMBOL * len(place)) // 10**6}MB'"
         )
+        # a tie of pairs is rare in short words, and looking for one takes time
+        sql = _ENCODE_LONG if sizes.max(initial=0) > LONGEST_KEPT else _ENCODE_SHORT
         while len(state["w"]):
             # long words have few rounds a query, so that its rows stay in proportion to them
             rounds = max(1, min(ROUNDS_AT_ONCE, ROUNDS_AT_ONCE * SYMBOLS_AT_ONCE // len(state["w"])))
-            state = self._query("symbols", pa.table(state), _ENCODE.format(rounds=rounds))
+            state = self._query("symbols", pa.table(state), sql.format(rounds=rounds))
             open_words = state.pop("n") == rounds
             done = ~open_words
             ids = state["t"][done].astype("<u4").tobytes()
@@ -233,7 +260,7 @@ def encode_texts(
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_slices(
-        docs.select(id_col, text_col), text_col, run, f"`{id_col}` {kind}, ids binary", ENCODE_BYTES
+        docs.select(id_col, text_col), text_col, run, f"`{id_col}` {kind}, ids binary", ENCODE_BYTES,
     )
 
 
