@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kindred.operators.bitmaps import distinct_counts
 from kindred.operators.features import distinct_labels
 from kindred.operators.skew import join_per_key
 from kindred.operators.taxonomy import labelled, labelled_array
@@ -24,9 +25,14 @@ PROFILE_FEATURES = {
 TOTAL_FEATURE = "dummy"
 
 
-def count_long(df: DataFrame, label: str, cluster: str, id_col: str) -> DataFrame:
+def count_long(
+    df: DataFrame, label: str, cluster: str, id_col: str, dense: bool = False
+) -> DataFrame:
     """``(label, cluster, n)``: distinct ids. Spark first removes repeats on the full
-    key, so a frequent label is spread over all tasks."""
+    key, so a frequent label is spread over all tasks. With ``dense`` the ids are numbers
+    from 1 without wide gaps, and one bitmap per label, cluster and 32,768 ids is shuffled."""
+    if dense:
+        return distinct_counts(df, [label, cluster], id_col)
     return df.groupBy(label, cluster).agg(F.countDistinct(id_col).alias("n"))
 
 
@@ -39,14 +45,15 @@ def _spread(counts: DataFrame, label: str, cluster: str, value: str, clusters: S
 
 
 def count_pivot(
-    df: DataFrame, label: str, cluster: str, id_col: str, clusters: Sequence[str] | None = None
+    df: DataFrame, label: str, cluster: str, id_col: str, clusters: Sequence[str] | None = None,
+    dense: bool = False,
 ) -> DataFrame:
     """Label x cluster table of distinct ids, gaps 0; the null label is a row.
 
     Counted long first: a pivot of distinct counts would expand every input row
     once per cluster.
     """
-    return _spread(count_long(df, label, cluster, id_col), label, cluster, "n", clusters)
+    return _spread(count_long(df, label, cluster, id_col, dense), label, cluster, "n", clusters)
 
 
 def sum_pivot(

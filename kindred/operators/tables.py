@@ -41,8 +41,13 @@ def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str]) -> DataFrame
 
 
 def safe_int_cast(value: Column) -> Column:
-    """Truncating integer, 0 for null, for text that is no number, and beyond 32 bits."""
-    return F.coalesce(value.try_cast("decimal(38,9)").try_cast("int"), F.lit(0))
+    """Truncating integer, 0 for null, for text that is no number, and beyond 32 bits.
+
+    A plain fraction is cut from the text first: a decimal would round its last digit.
+    """
+    whole = F.regexp_replace(value.cast("string"), r"^(\s*[+-]?\d*)\.\d*(\s*)$", "$1$2")
+    cut = whole.try_cast("decimal(38,9)").try_cast("int")
+    return F.coalesce(cut, value.try_cast("decimal(38,9)").try_cast("int"), F.lit(0))
 
 
 def tidy_projection(df: DataFrame, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:

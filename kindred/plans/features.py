@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +14,16 @@ from kindred.operators.clustering import (
     kmedoids_fit,
     weighted_points,
 )
-from kindred.operators.features import drop_sparse, standardize
+from kindred.operators.features import SPARSE_SHARE, drop_sparse, standardize
+from kindred.operators.sparse import (
+    dense_z_scores,
+    feature_dictionary,
+    feature_moments,
+    sparse_vectors,
+    stacked_entries,
+)
 from kindred.operators.tables import feature_table_join, fill_nulls, id_in_list, literal_replace
+from kindred.session import materialise
 
 
 def feature_pipeline(tables: Sequence[DataFrame], id_col: str) -> DataFrame:
@@ -56,5 +64,28 @@ def cluster_pipeline(
     scaled = scaled_features(features, id_col, wanted, sparse_share)
     columns = [name for name in scaled.columns if name != id_col]
     vectors = feature_vectors(scaled, id_col, columns)
+    return _clustered(vectors, k)
+
+
+def sparse_cluster_pipeline(
+    blocks: Mapping[str, DataFrame], products: DataFrame, id_col: str, k: int = FINAL_K,
+    sparse_share: float | None = SPARSE_SHARE,
+) -> DataFrame:
+    """:func:`cluster_pipeline` from feature entries, for any number of labels.
+
+    ``blocks`` are ``id, feature, value`` rows per kind of feature. Features that are 0 for
+    ``sparse_share`` of the products or more are left out before scaling.
+    """
+    entries = materialise(stacked_entries(blocks))
+    dictionary = feature_dictionary(entries)
+    vectors = materialise(sparse_vectors(entries, id_col, dictionary))
+    ids = products.select(id_col).distinct()
+    moments = feature_moments(vectors, dictionary, ids.count())
+    return _clustered(
+        materialise(dense_z_scores(vectors, id_col, moments, ids, sparse_share)), k
+    )
+
+
+def _clustered(vectors: DataFrame, k: int) -> DataFrame:
     fit = kmedoids_fit(weighted_points(vectors), (k,))[k]
     return kmedoids_assign(vectors, fit.medoids)

@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions import histograms as H
+from kindred.operators import bitmaps as B
 from kindred.operators import clustering as C
 from kindred.operators import features as FE
 from kindred.operators import profiles as P
 from kindred.operators import ranking as R
 from kindred.operators import segments as S
+from kindred.operators import sparse as SP
 from kindred.operators.features import zero_ratio as zero_shares
 from kindred.plans import segmentation as plans
 from kindred.plans.catalogue import catalog_pipeline as build_catalog
 from kindred.plans.catalogue import match_pipeline as match
 from kindred.plans.features import cluster_pipeline as cluster
 from kindred.plans.features import feature_pipeline as join_features
+from kindred.plans.features import sparse_cluster_pipeline as cluster_sparse
 from kindred.session import materialise
 from workload.registry import query
 from workload.relational import REGION_PIVOT_SQL, region_cells_as_long
@@ -65,6 +68,62 @@ def one_hot_explode(v: Views) -> DataFrame:
     return as_long(FE.one_hot_explode(v.notes, "product_id", "notes", prefix="note_"), ["product_id"])
 
 
+def _entry_rows(entries: DataFrame, id_col: str) -> DataFrame:
+    """Entries on their way through dictionary and vectors, as rows again."""
+    stored = materialise(entries)
+    dictionary = SP.feature_dictionary(stored)
+    return SP.entries_of(SP.sparse_vectors(stored, id_col, dictionary), id_col, dictionary)
+
+
+_RANKED = "CAST(dense_rank() OVER (ORDER BY feature) - 1 AS INTEGER) AS \"index\", 1.0::DOUBLE AS value"
+
+
+@query(
+    "one_hot_sparse",
+    f"SELECT product_id, feature, {_RANKED} FROM (SELECT product_id, class AS feature FROM v_catalog)",
+)
+def one_hot_sparse(v: Views) -> DataFrame:
+    return _entry_rows(SP.one_hot_entries(v.catalog, "product_id", "class"), "product_id")
+
+
+@query(
+    "one_hot_explode_sparse",
+    f"SELECT product_id, feature, {_RANKED} FROM (SELECT DISTINCT product_id, note AS feature FROM v_notes)",
+)
+def one_hot_explode_sparse(v: Views) -> DataFrame:
+    return _entry_rows(SP.one_hot_explode_entries(v.notes, "product_id", "notes"), "product_id")
+
+
+@query(
+    "argmax_one_hot_sparse",
+    f"SELECT id, feature, {_RANKED} FROM (SELECT id, longevity_label AS feature FROM v_labels"
+    " WHERE longevity_label IS NOT NULL)",
+)
+def argmax_one_hot_sparse(v: Views) -> DataFrame:
+    return _entry_rows(SP.argmax_entries(v.items, "id", "longevity", H.LONGEVITY_MERGES), "id")
+
+
+@query(
+    "sparse_moments",
+    "SELECT p_type AS feature, round(1 - count(*) / any_value(n), 6) AS zero_ratio,"
+    " round(sum(v) / any_value(n), 6) AS mean, round(sqrt(sum(v * v) / any_value(n)"
+    " - (sum(v) / any_value(n)) ** 2), 6) AS deviation FROM (SELECT l_orderkey, p_type,"
+    " count(*)::DOUBLE AS v FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL),"
+    " (SELECT count(DISTINCT l_orderkey)::DOUBLE AS n FROM lineitem) GROUP BY p_type",
+)
+def sparse_moments(v: Views) -> DataFrame:
+    parts = v.table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("feature"))
+    lines = v.table("lineitem").select("l_orderkey", "l_partkey").join(parts, "l_partkey")
+    entries = materialise(lines.select("l_orderkey", "feature", F.lit(1.0).alias("value")))
+    dictionary = SP.feature_dictionary(entries)
+    vectors = SP.sparse_vectors(entries, "l_orderkey", dictionary)
+    orders = entries.select("l_orderkey").distinct().count()
+    moments = SP.feature_moments(vectors, dictionary, orders)
+    return moments.select(
+        "feature", *[F.round(name, 6).alias(name) for name in ("zero_ratio", "mean", "deviation")]
+    )
+
+
 _MULTI_HOT = (
     "SELECT product_id, " + ", ".join(
         f"CAST({{count}} AS BIGINT) AS notes_{g}".replace("{g}", g).replace(
@@ -203,7 +262,8 @@ def feature_pipeline(v: Views) -> DataFrame:
     " UNION SELECT 'note_groups', grp, id FROM v_note_groups WHERE grp IS NOT NULL",
 )
 def label_sets(v: Views) -> DataFrame:
-    return S.label_sets(v.labels, ["season", "family", "note_groups"])
+    sets = S.label_sets(v.stored_labels, ["season", "family", "note_groups"])
+    return B.label_index(sets).memberships()
 
 
 @query(
@@ -267,7 +327,7 @@ _SEGMENTS = ["O", "F"]
 def count_pivot(v: Views) -> DataFrame:
     parts = v.table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("label"))
     lines = v.table("lineitem").select("l_partkey", "l_linestatus").join(parts, "l_partkey")
-    return P.count_pivot(lines, "label", "l_linestatus", "l_partkey", _SEGMENTS)
+    return P.count_pivot(lines, "label", "l_linestatus", "l_partkey", _SEGMENTS, dense=True)
 
 
 @query(
@@ -656,8 +716,43 @@ def elbow_inertia(v: Views) -> DataFrame:
     return curve.withColumn("inertia", F.round("inertia", 6))
 
 
-@query("cluster_pipeline")
+_VOTED_ENTRIES = (
+    "SELECT id, 'longevity_' || longevity_label AS f FROM v_labels WHERE longevity_label IS NOT NULL"
+    " UNION ALL SELECT id, 'main_accords_' || accord_group FROM v_labels WHERE accord_group IS NOT NULL"
+    " UNION ALL SELECT id, 'gender_' || for_gender FROM v_labels WHERE for_gender IS NOT NULL"
+)
+_KEPT_SCORES = (
+    "SELECT i.id, list((CASE WHEN e.id IS NULL THEN 0.0 ELSE 1.0 END - mean) / sqrt(mean * (1 - mean))"
+    f" ORDER BY m.f) AS x FROM v_items i CROSS JOIN (SELECT f, count(*)::DOUBLE / (SELECT count(*) FROM"
+    f" v_items) AS mean FROM ({_VOTED_ENTRIES}) GROUP BY f HAVING 1 - mean < {FE.SPARSE_SHARE}) m"
+    f" LEFT JOIN ({_VOTED_ENTRIES}) e ON e.id = i.id AND e.f = m.f GROUP BY i.id"
+)
+
+
+def _voted_blocks(v: Views, items: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "longevity": SP.argmax_entries(items, "id", "longevity", H.LONGEVITY_MERGES),
+        "main_accords": SP.argmax_entries(items, "id", "main_accords", (), v.taxonomies.accords),
+        "gender": SP.one_hot_entries(items, "id", "for_gender"),
+    }
+
+
+@query(
+    "cluster_pipeline",
+    fit_sql(
+        _KEPT_SCORES, f"[{C.FINAL_K}]",
+        "SELECT z.id AS point_id, medoid_id, round(distance, 6) AS distance FROM z"
+        " JOIN p ON p.x = z.x JOIN placed ON placed.id = p.id",
+    ),
+)
 def cluster_pipeline(v: Views) -> DataFrame:
+    items = v.stored_items
+    clustered = cluster_sparse(_voted_blocks(v, items), items, "id")
+    return clustered.select("point_id", "medoid_id", F.round("distance", 6).alias("distance"))
+
+
+@query("cluster_pipeline_wide")
+def cluster_pipeline_wide(v: Views) -> DataFrame:
     items = v.stored_items
     accords = FE.argmax_one_hot(
         items, "id", "main_accords", list(ACCORD_GROUPS), taxonomy=v.taxonomies.accords

@@ -9,7 +9,9 @@ from kindred.operators import features as FE
 from kindred.operators import matching as M
 from kindred.operators import tables as T
 from kindred.operators import taxonomy as X
+from kindred.operators.bitmaps import label_index
 from kindred.operators.catalog import region_pivot
+from kindred.operators.segments import label_sets
 from workload.registry import query
 from workload.views import MORE_CLASSES, Views, sql_taxonomy
 
@@ -266,11 +268,9 @@ def feature_table_join(v: Views) -> DataFrame:
     " AND id IN (SELECT id FROM v_note_groups WHERE grp = 'ASIA')",
 )
 def set_intersection_join(v: Views) -> DataFrame:
-    from kindred.operators.segments import label_sets
-
-    sets = label_sets(v.labels, ["season", "day_night", "sillage_label", "note_groups"])
+    sets = label_sets(v.stored_labels, ["season", "day_night", "sillage_label", "note_groups"])
     wanted = {"season": "SS", "day_night": "day", "sillage_label": "strong", "note_groups": "ASIA"}
-    return T.set_intersection_join(sets, wanted, "id")
+    return label_index(sets).intersection(wanted)
 
 
 # --- aggregates ---------------------------------------------------------------------
