@@ -15,6 +15,8 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,39 +61,51 @@ class HashingEncoder(Encoder):
         return {}
 
     def batch_predict(self, model: dict[str, int], data: pd.Series) -> np.ndarray:
-        split = [(text or "").split(self.separator) for text in data]
-        tokens = [token for parts in split for token in parts if token]
-        rows = np.repeat(np.arange(len(split)), [sum(map(bool, parts)) for parts in split])
-        names, which = np.unique(np.array(tokens, dtype=object), return_inverse=True)
+        # Arrow cuts and numbers the tokens; only a batch's distinct ones become strings
+        texts = pc.fill_null(pa.array(data, pa.string(), from_pandas=True), "")
+        parts = pc.split_pattern(texts, self.separator)
+        tokens = parts.flatten().dictionary_encode()
+        rows = pc.list_parent_indices(parts).to_numpy()
+        names = tokens.dictionary.to_pylist()
         if len(model) > TOKENS_KEPT:
             model.clear()
-        for name in names:
-            if name not in model:
-                digest = hashlib.md5(name.encode(), usedforsecurity=False).digest()
-                model[name] = int.from_bytes(digest[:2], "big") % self.dimension
-        places = np.array([model[name] for name in names], dtype=np.int64)[which]
-        flat = np.bincount(rows * self.dimension + places, minlength=len(split) * self.dimension)
-        return flat.reshape(len(split), self.dimension).astype(np.float64)
+        for name in set(names).difference(model):
+            digest = hashlib.md5(name.encode(), usedforsecurity=False).digest()
+            model[name] = int.from_bytes(digest[:2], "big") % self.dimension
+        # the empty token counts nowhere: it goes to a place past the last one
+        places = np.array([model[name] if name else self.dimension for name in names], np.int64)
+        width = self.dimension + 1
+        flat = np.bincount(rows * width + places[tokens.indices.to_numpy()], minlength=len(data) * width)
+        return flat.reshape(len(data), width)[:, : self.dimension].astype(np.float64)
 
 
 def batch_encode(
-    df: DataFrame, id_col: str, data_col: str, encoder: Encoder, batch_size: int = BATCH_SIZE
+    df: DataFrame, id_col: str, data_col: str, encoder: Encoder, batch_size: int = BATCH_SIZE,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """``(id, encoding)`` of every row, encoded in batches inside the tasks."""
+    """``(id, encoding)`` of every row, encoded in batches inside the tasks.
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ``partitions`` deals the rows to so many tasks first: a model's time per row is worth the
+    shuffle where the input has few files.
+    """
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder.init_model()
         for batch in batches:
-            for start in range(0, len(batch), batch_size):
-                piece = batch.iloc[start : start + batch_size]
-                vectors = encoder.batch_predict(model, piece["_data"])
-                if len(vectors) != len(piece):
+            for start in range(0, batch.num_rows, batch_size):
+                piece = batch.slice(start, batch_size)
+                vectors = np.asarray(encoder.batch_predict(model, piece.column(1).to_pandas()), np.float64)
+                if len(vectors) != piece.num_rows:
                     raise ValueError("the encoder must return one vector per input")
-                yield pd.DataFrame({"id": piece["id"], "encoding": list(vectors)})
+                edges = np.arange(len(vectors) + 1, dtype=np.int32) * vectors.shape[1]
+                listed = pa.ListArray.from_arrays(pa.array(edges), pa.array(vectors.ravel()))
+                yield pa.RecordBatch.from_arrays([piece.column(0), listed], names=["id", "encoding"])
 
     inputs = df.select(F.col(id_col).alias("id"), F.col(data_col).alias("_data"))
+    if partitions is not None:
+        inputs = inputs.repartition(partitions)
     kind = inputs.schema["id"].dataType.simpleString()
-    return inputs.mapInPandas(encode, f"id {kind}, encoding array<double>")
+    return inputs.mapInArrow(encode, f"id {kind}, encoding array<double>")
 
 
 def even_chunk(row: Column, total: int | Column, size: int) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 _SETTING = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}
+_made: list[str] = []
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -34,26 +33,32 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the session.
-
-    A machine-local folder is used only when the session runs in local mode and
-    names none; on a cluster a missing setting is an error.
-    """
+    """The folder every executor can reach: the one that the session names, else a folder in
+    the warehouse, which executors share as well."""
     configured = spark.conf.get(_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder all executors share")
-    app = context.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="kindred-")
-    return _local_roots[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/kindred-stages"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier call has returned."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_stages(spark: SparkSession) -> int:
+    """Delete the folders that this process has written so far; returns their number.
+
+    Call it when results have been written: frames that read a stage cannot be used afterwards.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    made, _made[:] = _made[:], []
+    for name in made:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    return len(made)
 
 
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

@@ -213,7 +213,10 @@ def temp_view(v: Views) -> DataFrame:
 
 @query("batch_encode", counts_sql("documents", "doc_id", "text", " "))
 def batch_encode(v: Views) -> DataFrame:
-    encoded = E.batch_encode(v.table("documents"), "doc_id", "text", E.HashingEncoder())
+    tasks = int(v.spark.conf.get("spark.sql.shuffle.partitions"))
+    encoded = E.batch_encode(
+        v.table("documents"), "doc_id", "text", E.HashingEncoder(), partitions=tasks
+    )
     return encoded.select("id", millionths(F.col("encoding")).alias("vector"))
 
 
