@@ -11,6 +11,7 @@ from kindred.operators.bitmaps import distinct_counts
 from kindred.operators.features import distinct_labels
 from kindred.operators.skew import join_per_key
 from kindred.operators.taxonomy import labelled, labelled_array
+from kindred.session import local_table
 
 # The profile sections, in order, and the label column behind each.
 PROFILE_FEATURES = {
@@ -23,6 +24,8 @@ PROFILE_FEATURES = {
     "longevity": "longevity_label",
 }
 TOTAL_FEATURE = "dummy"
+# The features that a product given as a profile is looked up by.
+SIMILAR_FEATURES = ("for_gender", "day_night", "season", "sillage", "longevity")
 
 
 def count_long(
@@ -129,25 +132,38 @@ def modal_label(profile: DataFrame) -> DataFrame:
     )
 
 
-def representative_items(members: DataFrame, labels: DataFrame, modal: DataFrame) -> DataFrame:
-    """``(id, cluster)`` of members that carry the modal label of all seven features.
+def representative_items(
+    members: DataFrame, labels: DataFrame, modal: DataFrame, required: DataFrame | None = None
+) -> DataFrame:
+    """``(id, cluster)`` of members that carry the modal label of every required feature.
 
-    A cluster may have none. The modal labels form one short row per cluster.
+    ``required`` lists them as rows (``feature``); without it they are all seven of a profile.
+    A division: members are joined to the wanted (cluster, feature, label) rows, and those stay
+    that meet as many features as are required. A cluster may have none, for one when it lacks
+    a modal label of a required feature.
     """
-    wide = modal.groupBy("cluster").agg(
-        *[
-            F.max(F.when(F.col("feature") == feature, F.col("label"))).alias(f"_modal_{feature}")
-            for feature in PROFILE_FEATURES
-        ]
-    )
+    if required is None:
+        rows = [(feature,) for feature in PROFILE_FEATURES]
+        required = local_table(members.sparkSession, rows, "feature string")
+    names = required.select("feature").distinct()
+    needed = names.count()
+    wanted = modal.join(names, "feature").select("cluster", "feature", "label")
     arrays = {field.name for field in labels.schema if field.dataType.typeName() == "array"}
-    candidates = join_per_key(members.select("id", "cluster").distinct(), wide, ["cluster"])
-    described = candidates.join(labels.select("id", *PROFILE_FEATURES.values()), "id")
-    for feature, source in PROFILE_FEATURES.items():
-        wanted = F.col(f"_modal_{feature}")
-        matches = F.array_contains(source, wanted) if source in arrays else F.col(source) == wanted
-        described = described.where(matches)
-    return described.select("id", "cluster")
+    empty = F.array().cast("array<struct<feature:string,label:string>>")
+    pairs = [
+        F.coalesce(labelled_array(F.col(source), feature), empty) if source in arrays
+        else F.array(labelled(F.col(source), feature))
+        for feature, source in PROFILE_FEATURES.items()
+    ]
+    # a label counts once for a product, however often a list repeats it
+    described = labels.select("id", F.array_distinct(F.concat(*pairs)).alias("_pairs"))
+    candidates = members.select("id", "cluster").distinct().join(described, "id")
+    carried = candidates.select("id", "cluster", F.explode("_pairs").alias("_pair")).select(
+        "id", "cluster", "_pair.feature", "_pair.label"
+    )
+    met = join_per_key(carried, wanted, ["cluster", "feature", "label"])
+    counted = met.groupBy("id", "cluster").agg(F.count(F.lit(1)).alias("_met"))
+    return counted.where(F.col("_met") == needed).select("id", "cluster")
 
 
 def representative_flag(

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kindred.functions.histograms import LONGEVITY_MERGES, SILLAGE_MERGES, rename_map_keys
 from kindred.operators.clustering import (
     FINAL_K,
     feature_vectors,
@@ -14,7 +16,17 @@ from kindred.operators.clustering import (
     kmedoids_fit,
     weighted_points,
 )
-from kindred.operators.features import SPARSE_SHARE, drop_sparse, standardize
+from kindred.operators.features import (
+    SPARSE_SHARE,
+    argmax_one_hot,
+    drop_sparse,
+    multi_hot_grouped,
+    one_hot,
+    price_value_features,
+    season_features,
+    standardize,
+)
+from kindred.operators.segments import NOTE_LISTS
 from kindred.operators.sparse import (
     dense_z_scores,
     feature_dictionary,
@@ -24,11 +36,67 @@ from kindred.operators.sparse import (
 )
 from kindred.operators.tables import feature_table_join, fill_nulls, id_in_list, literal_replace
 from kindred.session import materialise
+from kindred.sources.feature_store import BUCKETS, join_feature_tables, write_feature_table
+
+
+@dataclass(frozen=True)
+class FeatureLabels:
+    """Labels that become columns, per kind of feature, and the taxonomies behind groups."""
+
+    brands: Sequence[str]
+    note_groups: Sequence[str]
+    accord_groups: Sequence[str]
+    longevity: Sequence[str]
+    sillage: Sequence[str]
+    genders: Sequence[str]
+    prices: Sequence[str]
+    seasons: Sequence[str]
+    notes: DataFrame
+    accords: DataFrame
 
 
-def feature_pipeline(tables: Sequence[DataFrame], id_col: str) -> DataFrame:
-    """All feature tables joined on the product id."""
-    return feature_table_join(tables, id_col)
+def product_feature_tables(
+    items: DataFrame, labels: FeatureLabels, id_col: str = "id"
+) -> dict[str, DataFrame]:
+    """The ten feature tables of a product: brand, three note lists, five votes, season.
+
+    ``items`` has one row per product with ``brand``, the lists ``top_notes, middle_notes,
+    base_notes`` and the histograms ``main_accords, longevity, sillage, gender_vote,
+    price_value, season_rating``. Each table has the id and its own columns.
+    """
+    tables = {"brand": one_hot(items, id_col, "brand", labels.brands, prefix="brand_")}
+    for notes in NOTE_LISTS:
+        tables[notes] = multi_hot_grouped(items, id_col, notes, labels.notes, labels.note_groups)
+    tables["main_accords"] = argmax_one_hot(
+        items, id_col, "main_accords", labels.accord_groups, taxonomy=labels.accords
+    )
+    tables["longevity"] = argmax_one_hot(
+        items, id_col, "longevity", labels.longevity, LONGEVITY_MERGES
+    )
+    tables["sillage"] = argmax_one_hot(items, id_col, "sillage", labels.sillage, SILLAGE_MERGES)
+    tables["gender_vote"] = argmax_one_hot(items, id_col, "gender_vote", labels.genders)
+    renamed = items.select(id_col, rename_map_keys(F.col("price_value")).alias("price_value"))
+    prices = [price.replace(" ", "_") for price in labels.prices]
+    tables["price_value"] = price_value_features(renamed, id_col, "price_value", prices)
+    tables["season"] = season_features(items, id_col, "season_rating", labels.seasons)
+    return tables
+
+
+def feature_pipeline(items: DataFrame, labels: FeatureLabels, id_col: str = "id") -> DataFrame:
+    """All ten feature tables of the products, joined on the id."""
+    return feature_table_join(list(product_feature_tables(items, labels, id_col).values()), id_col)
+
+
+def stored_feature_pipeline(
+    items: DataFrame, labels: FeatureLabels, root: str, store: str, id_col: str = "id",
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """:func:`feature_pipeline` through a store of bucketed tables, joined without a shuffle."""
+    names = [
+        write_feature_table(table, root, store, name, id_col, buckets)
+        for name, table in product_feature_tables(items, labels, id_col).items()
+    ]
+    return join_feature_tables(items.sparkSession, names, id_col)
 
 
 def scaled_features(

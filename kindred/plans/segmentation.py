@@ -65,14 +65,17 @@ def representative_pipeline(
     labels: DataFrame,
     profile: DataFrame,
     global_flag: bool = False,
+    required: DataFrame | None = None,
 ) -> DataFrame:
     """Segment members with their labels and ``rank`` = 1 on representatives.
 
+    ``required`` names the features that a representative must share with its segment.
+
     Pass labels made with ``merge_votes=False`` and a profile of merged labels to
     look members up by their unmerged sillage and longevity.
     """
     modal = modal_label(profile)
-    chosen = representative_items(members, labels, modal)
+    chosen = representative_items(members, labels, modal, required)
     flagged = representative_flag(members, chosen, global_flag)
     lists = [name for name in NOTE_LISTS if name in labels.columns]
     described = labels.select(

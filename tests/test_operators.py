@@ -318,3 +318,42 @@ def test_equal_places_take_the_smaller_group(spark):
         "taxonomy string, group string, group_pos int, term string",
     )
     assert rows(X.first_groups(both), "group") == [("alpha",)]
+
+
+@pytest.mark.parametrize("features", [P.SIMILAR_FEATURES, tuple(P.PROFILE_FEATURES)])
+def test_representatives_meet_all_required_features(spark, features):
+    """Five or seven features given as rows, against plain loops."""
+    import random
+
+    chance = random.Random(len(features))
+    sources = [source for source in P.PROFILE_FEATURES.values() if source != "note_groups"]
+    data = []
+    for i in range(120):
+        row = {name: chance.choice(["x", "x", "y", None]) for name in sources}
+        row["note_groups"] = chance.choice([["x", "x"], ["x", "y"], ["y"], [], None])
+        data.append({"id": i, **row})
+    schema = "id int, note_groups array<string>, " + ", ".join(f"{name} string" for name in sources)
+    labels = spark.createDataFrame(data, schema)
+    clusters = {i: chance.choice(["a", "b", "c"]) for i in range(120)}
+    members = spark.createDataFrame([*clusters.items(), (0, clusters[0])], "id int, cluster string")
+    modal_rows = [
+        (feature, cluster, chance.choice(["x", "x", "y"])) for feature in P.PROFILE_FEATURES
+        for cluster in "abc" if (feature, cluster) != ("season", "c")
+    ]
+    modal = spark.createDataFrame(modal_rows, "feature string, cluster string, label string")
+    required = spark.createDataFrame([(name,) for name in features], "feature string")
+    found = P.representative_items(members, labels, modal, required).collect()
+    wanted = {(feature, cluster): label for feature, cluster, label in modal_rows}
+    expected = set()
+    for row in data:
+        cluster = clusters[row["id"]]
+        carried = [
+            (feature, cluster) in wanted and wanted[feature, cluster] in (
+                row[source] or [] if isinstance(row[source], list) or source == "note_groups"
+                else [row[source]])
+            for feature, source in P.PROFILE_FEATURES.items() if feature in features
+        ]
+        if all(carried):
+            expected.add((row["id"], cluster))
+    assert sorted(map(tuple, found)) == sorted(expected)
+    assert len(features) > 5 or expected

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions import histograms as H
+from kindred.functions.text import sanitize_name
 from kindred.operators import bitmaps as B
 from kindred.operators import clustering as C
 from kindred.operators import features as FE
@@ -19,17 +20,21 @@ from kindred.plans.catalogue import catalog_pipeline as build_catalog
 from kindred.plans.catalogue import match_pipeline as match
 from kindred.plans.features import cluster_pipeline as cluster
 from kindred.plans.features import feature_pipeline as join_features
+from kindred.plans.features import FeatureLabels
 from kindred.plans.features import sparse_cluster_pipeline as cluster_sparse
-from kindred.session import materialise
+from kindred.plans.features import stored_feature_pipeline as store_features
+from kindred.session import materialise, scratch_path
 from workload.registry import query
 from workload.relational import REGION_PIVOT_SQL, region_cells_as_long
 from workload.views import (
     ACCORD_GROUPS,
     CLASSES,
+    GENDERS,
     PRICES,
     SEASONS,
     VOTE_KEYS,
     Views,
+    sql_argmax,
 )
 
 # Largest within-brand cosines of the given vectors are near 0.4.
@@ -222,34 +227,51 @@ def standardize(v: Views) -> DataFrame:
     return scaled.select("product_id", *[F.round(key, 6).alias(key) for key in VOTE_KEYS])
 
 
-@query(
-    "feature_pipeline",
+_BRANDS = [f"Brand#{m}{n}" for m in range(1, 6) for n in range(1, 6)]
+_NOTE_GROUPS = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
+_SILLAGE_LABELS = ["intimate", "moderate", "strong"]
+_TEN_TABLES = (
     f"SELECT id, {_SEASON_COLUMNS}, {_PRICE_COLUMNS}, " + ", ".join(
         [f"CAST(longevity_label = '{k}' AS BIGINT) AS longevity_{k}" for k in _ARGMAX_LABELS]
+        + [f"CAST(sillage_label = '{k}' AS BIGINT) AS sillage_{k}" for k in _SILLAGE_LABELS]
+        + [f"CAST({sql_argmax(GENDERS, 'gender_n')} = '{k}' AS BIGINT) AS gender_vote_{k}" for k in GENDERS]
         + [f"CAST(coalesce(accord_group = '{g}', false) AS BIGINT) AS main_accords_{g}"
            for g in ACCORD_GROUPS]
-        + [f"CAST(for_gender = '{c.lower()}' AS BIGINT) AS gender_{c.lower()}"
-           for c in _CLASS_NAMES]
-        + [f"CAST(coalesce(hot_{g.lower()}, false) AS BIGINT) AS middle_notes_{g}"
-           for g in ("AFRICA", "AMERICA", "ASIA", "EUROPE")]
-    ) + " FROM v_items JOIN v_labels USING (id, for_gender) JOIN (SELECT id, " + ", ".join(
-        f"bool_or(grp = '{g}') AS hot_{g.lower()}" for g in ("AFRICA", "AMERICA", "ASIA", "EUROPE")
-    ) + " FROM v_note_groups GROUP BY id) USING (id)",
+        + [f"CAST(brand = '{brand}' AS BIGINT) AS \"brand_{sanitize_name(brand)}\"" for brand in _BRANDS]
+        + [f"CAST(coalesce({kind}_{g.lower()}, false) AS BIGINT) AS {kind}_notes_{g}"
+           for kind in ("top", "middle", "base") for g in _NOTE_GROUPS]
+    ) + " FROM v_items JOIN v_labels USING (id, for_gender, brand) JOIN (SELECT id, " + ", ".join(
+        f"bool_or({test}grp = '{g}') AS {kind}_{g.lower()}"
+        for kind, test in (("top", "top AND "), ("middle", ""), ("base", "base AND "))
+        for g in _NOTE_GROUPS
+    ) + " FROM v_listed_notes GROUP BY id) USING (id)"
 )
-def feature_pipeline(v: Views) -> DataFrame:
-    items = v.stored_items
-    gender = FE.one_hot(items, "id", "for_gender", prefix="gender_")
-    notes = FE.multi_hot_grouped(
-        items, "id", "middle_notes", v.taxonomies.notes, ["AFRICA", "AMERICA", "ASIA", "EUROPE"]
-    )
-    longevity = FE.argmax_one_hot(items, "id", "longevity", _ARGMAX_LABELS, H.LONGEVITY_MERGES)
-    accords = FE.argmax_one_hot(
-        items, "id", "main_accords", list(ACCORD_GROUPS), taxonomy=v.taxonomies.accords
+
+
+def _feature_labels(v: Views) -> FeatureLabels:
+    return FeatureLabels(
+        _BRANDS, _NOTE_GROUPS, list(ACCORD_GROUPS), _ARGMAX_LABELS, _SILLAGE_LABELS, GENDERS, PRICES,
+        SEASONS, v.taxonomies.notes, v.taxonomies.accords,
     )
-    season = FE.season_features(items, "id", "season_rating", SEASONS)
-    price = _rounded(_price_values(items))
-    joined = join_features([season, price, longevity, accords, gender, notes], "id")
-    return as_long(joined, ["id", *[name for name in price.columns if name != "id"]])
+
+
+def _as_checked(features: DataFrame) -> DataFrame:
+    prices = [name for name in features.columns if name.startswith("price_value_")]
+    rounded = features.withColumns({name: F.round(name, 6) for name in prices})
+    return as_long(rounded, ["id", *prices])
+
+
+@query("feature_pipeline", _TEN_TABLES)
+def feature_pipeline(v: Views) -> DataFrame:
+    return _as_checked(join_features(v.feature_items, _feature_labels(v)))
+
+
+@query("feature_pipeline_stored", _TEN_TABLES)
+def feature_pipeline_stored(v: Views) -> DataFrame:
+    root = scratch_path(v.spark, "features")
+    store = "kindred_" + root.rsplit("-", 1)[-1]
+    stored = store_features(v.feature_items, _feature_labels(v), root, store, buckets=8)
+    return _as_checked(stored)
 
 
 # --- segments -----------------------------------------------------------------------
@@ -388,6 +410,19 @@ def representative_items(v: Views) -> DataFrame:
     return P.representative_items(v.members, v.stored_labels, modal)
 
 
+@query(
+    "representative_items_similar",
+    "SELECT m.id, m.cluster FROM (SELECT DISTINCT id, cluster FROM v_members) m JOIN v_modal o"
+    " USING (cluster) JOIN v_feature_labels f ON f.id = m.id AND f.feature = o.feature"
+    f" AND f.label = o.label WHERE o.feature IN {P.SIMILAR_FEATURES} GROUP BY ALL"
+    f" HAVING count(*) = {len(P.SIMILAR_FEATURES)}",
+)
+def representative_items_similar(v: Views) -> DataFrame:
+    modal = P.modal_label(P.profile_long(v.members, v.stored_labels))
+    required = v.spark.createDataFrame([(name,) for name in P.SIMILAR_FEATURES], "feature string")
+    return P.representative_items(v.members, v.stored_labels, modal, required)
+
+
 def _flag_sql(condition: str) -> str:
     return (
         "SELECT id, cluster, CAST(CASE WHEN " + condition + " THEN 1 END AS BIGINT) AS rank"

@@ -189,6 +189,10 @@ SQL_VIEWS = {
     "v_item_notes": "SELECT l_partkey AS id, n_name AS note FROM lineitem"
     " JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"
     " GROUP BY ALL",
+    "v_listed_notes": "SELECT l_partkey AS id, nullif(r_name, 'MIDDLE EAST') AS grp,"
+    " l_linenumber <= 2 AS top, l_linenumber >= 4 AS base FROM lineitem"
+    " JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"
+    " JOIN region ON n_regionkey = r_regionkey",
     "v_note_groups": "SELECT id, note, nullif(r_name, 'MIDDLE EAST') AS grp FROM v_item_notes"
     " JOIN nation ON n_name = note JOIN region ON n_regionkey = r_regionkey",
     "v_note_families": "SELECT DISTINCT id, CASE WHEN grp IN ('AFRICA', 'AMERICA') THEN"
@@ -439,6 +443,25 @@ class Views:
         """``items`` as a stored table, read by several steps."""
         return materialise(self.items)
 
+    @cached_property
+    def feature_items(self) -> DataFrame:
+        """``stored_items`` with the notes of the first and of the last lines as lists of their own."""
+        nations = (
+            self.table("supplier")
+            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .select(F.col("s_suppkey").alias("l_suppkey"), "n_name")
+        )
+        line = F.col("l_linenumber")
+        lists = (
+            self.table("lineitem").select(F.col("l_partkey").alias("id"), "l_suppkey", "l_linenumber")
+            .join(nations, "l_suppkey").groupBy("id")
+            .agg(*[
+                F.sort_array(F.collect_set(F.when(test, F.col("n_name")))).alias(name)
+                for name, test in (("top_notes", line <= 2), ("base_notes", line >= 4))
+            ])
+        )
+        return materialise(self.stored_items.join(lists, "id"))
+
     @cached_property
     def note_taxonomy(self) -> DataFrame:
         """Nations grouped by region; the nations of one region are left unmapped."""
