@@ -11,7 +11,6 @@ in order.
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -21,6 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from kindred.llm.slices import map_slices, texts_of
+from kindred.llm.stores import resident
 
 #: Words kept per worker process and generation; it bounds memory and changes no result.
 CACHE_ENTRIES = 160_000
@@ -236,10 +236,9 @@ class Codec:
         return result
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     """One codec per worker process and vocabulary."""
-    return Codec(path, pattern)
+    return resident(Codec, path, pattern)
 
 
 def encode_texts(
@@ -260,7 +259,7 @@ def encode_texts(
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_slices(
-        docs.select(id_col, text_col), text_col, run, f"`{id_col}` {kind}, ids binary", ENCODE_BYTES,
+        docs.select(id_col, text_col), text_col, run, f"`{id_col}` {kind}, ids binary", ENCODE_BYTES, True,
     )
 
 
@@ -285,5 +284,5 @@ def decode_ids(
     kind = encoded.schema[id_col].dataType.simpleString()
     return map_slices(
         encoded.select(id_col, ids_col), ids_col, run,
-        f"`{id_col}` {kind}, ids binary, decoded binary", DECODE_BYTES,
+        f"`{id_col}` {kind}, ids binary, decoded binary", DECODE_BYTES, True,
     )

@@ -11,7 +11,6 @@ and one number per window with room left.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from kindred.llm import wordpieces
+from kindred.llm import stores, wordpieces
 from kindred.llm.slices import slices, texts_of, with_small_batches
 
 #: Remainders and bytes of identifiers that a buffer holds at most (one longer document aside).
 BUFFER_ROWS, BUFFER_BYTES = 8_192, 8_000_000
 #: Parts and words kept per worker process; it bounds memory and changes no result.
-CACHE_ENTRIES = 120_000
+CACHE_ENTRIES = 250_000
 #: Characters of the longest part that is kept.
 LONGEST_KEPT = 64
 #: Stands between parts while they are encoded; no identifier.
@@ -153,10 +152,9 @@ class Encoder:
             )
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder per worker process and vocabulary."""
-    return Encoder(path)
+    return stores.resident(Encoder, path)
 
 
 def id_lists(packed: list[bytes]) -> pa.Array:

@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from kindred.llm import stores
+
 #: Bytes of text that a slice holds, unless a single text is longer.
 SLICE_BYTES = 1_000_000
 #: Bytes of an Arrow batch that Spark hands to a worker.
@@ -45,14 +47,21 @@ def with_small_batches(df: DataFrame) -> DataFrame:
 
 def map_slices(
     df: DataFrame, text: str, run: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
-    most: int = SLICE_BYTES,
+    most: int = SLICE_BYTES, keeps: bool = False,
 ) -> DataFrame:
-    """Apply ``run`` to every slice of ``df``; a slice may hold no row after filtering."""
+    """Apply ``run`` to every slice of ``df``; a slice may hold no row after filtering.
+
+    Unless ``run`` keeps an object of its own in the worker (``stores.resident``), what an
+    earlier task has left there is let go.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            stores.release()
         for batch in batches:
             for part in slices(batch, text, most):
                 yield run(part)
+        stores.trim()
 
     return with_small_batches(df).mapInArrow(task, schema)
 
