@@ -25,7 +25,7 @@ from kindred.llm.slices import slices, texts_of, with_small_batches
 #: Remainders and bytes of identifiers that a buffer holds at most (one longer document aside).
 BUFFER_ROWS, BUFFER_BYTES = 8_192, 8_000_000
 #: Parts and words kept per worker process; it bounds memory and changes no result.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 #: Characters of the longest part that is kept.
 LONGEST_KEPT = 64
 #: Stands between parts while they are encoded; no identifier.
@@ -115,9 +115,9 @@ class Encoder:
 
     def _missing(self, wanted: set[str]) -> list[str]:
         """Those of ``wanted`` that neither store knows; the older one's entries move over."""
-        wanted = wanted.difference(self.known)
-        met = wanted.intersection(self.older)
-        self.known.update(zip(met, map(self.older.__getitem__, met), strict=True))
+        wanted, older = wanted.difference(self.known), self.older
+        met = [part for part in wanted if part in older]
+        self.known.update(zip(met, map(older.__getitem__, met), strict=True))
         return list(wanted.difference(met))
 
     def _whole(self, text: str) -> bytes:
@@ -126,10 +126,10 @@ class Encoder:
 
     def _learn(self, parts: list[str]) -> None:
         """Add ``parts`` to the known ones; one pass over all of them for every step."""
-        plain = [part for part in parts if part.isalpha() and part.isascii() and part.islower()]
-        others = list(set(parts).difference(plain))
+        plain = {part for part in parts if part.isalpha() and part.isascii() and part.islower()}
+        others = [part for part in parts if part not in plain]
         pieces = self.pieces.findall(self.vocabulary.normalised("\n".join(others)))
-        new = self._missing(set(plain).union(pieces))
+        new = [*plain, *self._missing(set(pieces).difference(plain))]
         known = self.known
         if new:
             # line feeds stand in no word and have no symbol, so they keep the words apart
@@ -140,16 +140,14 @@ class Encoder:
             ids = np.array(found[0].ids, "<u4")
             packed = ids.tobytes()
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            known.update(
-                (word, packed[a:b]) for word, a, b in zip(new, [0, *ends[:-1]], ends, strict=True)
-            )
+            values = [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            known.update(zip(new, values, strict=True))
         if others:
             packed = b"".join(map(known.__getitem__, pieces))
             breaks = 4 * np.flatnonzero(np.frombuffer(packed, "<u4") == _NO_ID)
             starts, ends = [0, *(breaks + 4).tolist()], [*breaks.tolist(), len(packed)]
-            known.update(
-                (part, packed[a:b]) for part, a, b in zip(others, starts, ends, strict=True)
-            )
+            values = [packed[a:b] for a, b in zip(starts, ends, strict=True)]
+            known.update(zip(others, values, strict=True))
 
 
 def encoder(path: str) -> Encoder:
@@ -231,6 +229,7 @@ def pack(
                             yield flush()
         if rows:
             yield flush()
+        stores.trim()
 
     return with_small_batches(docs.select(id_col, text_col)).mapInArrow(
         task,
