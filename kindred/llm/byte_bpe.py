@@ -31,8 +31,10 @@ ENCODE_BYTES, DECODE_BYTES = 2_000_000, 2_000_000
 #: Words of a recursive query.
 WORDS_AT_ONCE = 25_000
 
-#: Symbols of a recursive query, longer words aside, and its rounds; they bound its rows.
-SYMBOLS_AT_ONCE, ROUNDS_AT_ONCE = 250_000, 8
+#: Symbols of a recursive query, longer words aside; it bounds the rows of a state.
+SYMBOLS_AT_ONCE = 250_000
+#: Rounds of a query, so states that are held: short words are done soon, and their rows go.
+ROUNDS_SHORT, ROUNDS_LONG = 24, 8
 #: Bytes that DuckDB may use, and those that it may use besides for each symbol of a query.
 MEMORY, MEMORY_A_SYMBOL = 250_000_000, 1_000
 
@@ -174,10 +176,11 @@ class Codec:
             f"SET memory_limit = '{(MEMORY + MEMORY_A_SYMBOL * len(place)) // 10**6}MB'"
         )
         # a tie of pairs is rare in short words, and looking for one takes time
-        sql = _ENCODE_LONG if sizes.max(initial=0) > LONGEST_KEPT else _ENCODE_SHORT
+        long = sizes.max(initial=0) > LONGEST_KEPT
+        sql, most = (_ENCODE_LONG, ROUNDS_LONG) if long else (_ENCODE_SHORT, ROUNDS_SHORT)
         while len(state["w"]):
             # long words have few rounds a query, so that its rows stay in proportion to them
-            rounds = max(1, min(ROUNDS_AT_ONCE, ROUNDS_AT_ONCE * SYMBOLS_AT_ONCE // len(state["w"])))
+            rounds = max(1, min(most, most * SYMBOLS_AT_ONCE // len(state["w"])))
             state = self._query("symbols", pa.table(state), sql.format(rounds=rounds))
             open_words = state.pop("n") == rounds
             done = ~open_words
