@@ -1,15 +1,18 @@
 """Batch inference and the versioned encoding store.
 
-Store rows are ``(id, encoding, part, pos, insert_time)`` in parquet, in folders of
-consecutive parts; a part holds at most ``part_size`` rows. The newest encoding of
+Store rows are ``(id, encoding, part, pos, insert_time)`` in parquet, in a folder per append
+and below it in folders of consecutive parts; a part holds at most ``part_size`` rows. The newest encoding of
 an id is the one in the highest part, then at the highest position.
 """
 
 from __future__ import annotations
 
 import hashlib
+import threading
+import time
+import uuid
 from abc import ABC, abstractmethod
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -17,18 +20,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.operators.numbering import number_rows
 from kindred.operators.tables import anti_join, nonblank_filter
-from kindred.session import materialise
 
 # Batch and part sizes used when none are given.
 BATCH_SIZE = 256
 PART_SIZE = 2000
 # Tokens whose place a task keeps; it bounds memory and changes no result.
 TOKENS_KEPT = 500_000
+# Writers of this process reserve parts one at a time.
+_RESERVING = threading.Lock()
 # Consecutive parts kept in one folder: folders stay few while parts stay small.
 PARTS_PER_FOLDER = 256
 
@@ -120,9 +125,11 @@ def even_chunk(row: Column, total: int | Column, size: int) -> Column:
     return F.when(row < long_rows, early).otherwise(total % chunks + after).cast("int")
 
 
-def assign_parts(df: DataFrame, id_col: str, part_size: int, first_part: int = 0) -> DataFrame:
-    """Add ``part`` and ``pos`` (position in the part) in id order."""
-    numbered = number_rows(df, [F.col(id_col).asc()], (), "_row")
+def assign_parts(
+    df: DataFrame, id_col: str, part_size: int, first_part: int = 0, more: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``part`` and ``pos`` (position in the part) in the order of the id, then ``more``."""
+    numbered = number_rows(df, [F.col(name).asc() for name in (id_col, *more)], (), "_row")
     total = numbered.count()
     row = F.col("_row") - 1
     chunk = even_chunk(row, total, part_size)
@@ -145,21 +152,85 @@ def stored_encodings(df: DataFrame | None) -> int:
     return 0 if top is None else top + 1
 
 
+def reserve_parts(spark: SparkSession, path: str, count: int, first: int = 0) -> int:
+    """Reserve ``count`` consecutive part numbers of the store at ``path``; returns the first.
+
+    Optimistic: a reservation is a file ``_parts/<number>`` that states where its parts begin
+    and end. A writer reads the last one and tries to create the next; where another writer was
+    first, it reads again. Writers of one driver take turns; between drivers it takes a file
+    system that creates a file once only, as HDFS does. Numbers start at ``first`` or after the
+    last reservation. Readers do not see the files, and a writer that fails leaves a gap and
+    nothing else.
+    """
+    with _RESERVING:
+        return _reserve(spark, path, count, first)
+
+
+def _reserve(spark: SparkSession, path: str, count: int, first: int) -> int:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_parts")
+    files = folder.getFileSystem(conf)
+    files.mkdirs(folder)
+
+    def content(number: int) -> list[str]:
+        name = jvm.org.apache.hadoop.fs.Path(folder, f"{number:09d}")
+        for _ in range(200):
+            stream = files.open(name)
+            try:
+                return stream.readUTF().split(" ")
+            except Py4JJavaError:  # created, but its writer has not filled it yet
+                time.sleep(0.05)
+            finally:
+                stream.close()
+        raise TimeoutError(f"{name} was never filled; delete it if its writer is gone")
+
+    mark = uuid.uuid4().hex
+    while True:
+        taken = sorted(int(each.getPath().getName()) for each in files.listStatus(folder))
+        start = max(first, int(content(taken[-1])[1])) if taken else first
+        number = taken[-1] + 1 if taken else 0
+        try:
+            stream = files.create(jvm.org.apache.hadoop.fs.Path(folder, f"{number:09d}"), False)
+            try:
+                stream.writeUTF(f"{start} {start + count} {mark}")
+            finally:
+                stream.close()
+        except Py4JJavaError as error:
+            if files.exists(jvm.org.apache.hadoop.fs.Path(folder, f"{number:09d}")):
+                continue  # another writer was first
+            raise error
+        if content(number)[2] == mark:
+            return start
+
+
 def encoding_sink(
     encoded: DataFrame, path: str, part_size: int = PART_SIZE, existing: DataFrame | None = None
 ) -> DataFrame:
     """Append ``(id, encoding)`` rows to the store at ``path``; returns ``(id, part, pos)``.
 
-    Part numbers continue after the largest stored one. The rows arrive range
-    partitioned by id, so each task writes consecutive parts.
+    Part numbers continue after the largest stored or reserved one, so writers at work at the
+    same time get different parts. The rows arrive range partitioned by id, so each task
+    writes consecutive parts.
+    """
+    placed = assign_parts(encoded, "id", part_size)
+    last = placed.agg(F.max("part")).first()[0]
+    parts = 0 if last is None else last + 1
+    first = reserve_parts(encoded.sparkSession, path, parts, stored_encodings(existing))
+    return _append(placed.withColumn("part", F.col("part") + first), path, first)
+
+
+def _append(placed: DataFrame, path: str, first: int) -> DataFrame:
+    """Append ``id, encoding, part, pos`` rows; returns the rows without their vectors.
+
+    A writer has a folder of its own, named by its first part: Spark commits the files of one
+    writer at a time below a folder.
     """
-    placed = assign_parts(encoded, "id", part_size, stored_encodings(existing)).withColumns(
+    placed.withColumns(
         {
             "insert_time": F.date_trunc("second", F.current_timestamp()),
             "folder": F.floor(F.col("part") / PARTS_PER_FOLDER).cast("int"),
         }
-    )
-    placed.write.mode("append").partitionBy("folder").parquet(path)
+    ).write.mode("append").partitionBy("folder").parquet(f"{path.rstrip('/')}/batch={first}")
     return placed.select("id", "part", "pos")
 
 
@@ -219,9 +290,24 @@ def incremental_encode(
 ) -> DataFrame:
     """Encode what the store lacks and append it; returns the new ``(id, part, pos)`` rows.
 
-    The encodings are materialised once, because placing them in parts reads them
-    more than once and the model should not.
+    Places are given to the ids before anything is encoded, and travel through the encoder with
+    them: the model sees every row once, and a vector is written once, to its part. Equal
+    (id, data) rows share a place.
     """
-    todo = pending_ids(df, id_col, existing)
-    encoded = materialise(batch_encode(todo, id_col, data_col, encoder, batch_size))
-    return encoding_sink(encoded, path, part_size, existing)
+    todo = pending_ids(df, id_col, existing).select(
+        F.col(id_col).alias("id"), F.col(data_col).alias("_data"),
+        F.md5(F.coalesce(F.col(data_col).cast("string"), F.lit(""))).alias("_mark"),
+    )
+    # written narrow: later steps must see the same places
+    places = assign_parts(todo.select("id", "_mark").distinct(), "id", part_size, 0, ["_mark"])
+    last = places.agg(F.max("part")).first()[0]
+    parts = 0 if last is None else last + 1
+    first = reserve_parts(df.sparkSession, path, parts, stored_encodings(existing))
+    places = places.withColumn("part", F.col("part") + first)
+    inputs = (
+        todo.join(places, ["id", "_mark"]).repartitionByRange("part", "pos")
+        .select(F.struct("id", "part", "pos").alias("_key"), "_data")
+    )
+    encoded = batch_encode(inputs, "_key", "_data", encoder, batch_size)
+    _append(encoded.select("id.*", "encoding"), path, first)
+    return places.select("id", "part", "pos")

@@ -194,3 +194,37 @@ def test_materialised_rows_survive_their_source(spark, tmp_path):
     assert kept.count() == 5
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert scratch_path(spark, "x").startswith(shared_root(spark))
+
+
+def test_writers_at_once_get_disjoint_parts(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = scratch_path(spark, "store")
+    with ThreadPoolExecutor(4) as pool:
+        starts = list(pool.map(lambda _: E.reserve_parts(spark, path, 3, 5), range(6)))
+    assert sorted(starts) == [5 + 3 * i for i in range(6)]
+    with ThreadPoolExecutor(2) as pool:
+        found = list(pool.map(
+            lambda offset: {
+                tuple(r) for r in E.encoding_sink(encoded(spark, offset, offset + 20), path, 8).select(
+                    "part", "id").collect()
+            }, (0, 1000),
+        ))
+    parts = [{part for part, _ in rows_} for rows_ in found]
+    assert not parts[0] & parts[1] and min(parts[0] | parts[1]) == 23
+    assert spark.read.parquet(path).count() == 40
+
+
+def test_a_vector_is_encoded_and_written_once(spark):
+    path = scratch_path(spark, "store")
+    df = spark.createDataFrame(
+        [(f"p{i}", f"w{i % 7} w{i % 3}") for i in range(50)]
+        + [("p7", "other"), ("p7", "other"), (None, "x"), ("", "y")], "id string, t string",
+    )
+    new = E.incremental_encode(df, "id", "t", E.HashingEncoder(), path, part_size=20)
+    store = spark.read.parquet(path)
+    assert new.count() == 51 and store.count() == 52
+    wanted = {(r["id"], tuple(r["encoding"])) for r in E.batch_encode(
+        df.where("id <> ''"), "id", "t", E.HashingEncoder()).collect()}
+    assert {(r["id"], tuple(r["encoding"])) for r in store.collect()} == wanted
+    assert E.incremental_encode(df, "id", "t", E.HashingEncoder(), path, store, 20).count() == 0
