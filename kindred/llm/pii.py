@@ -14,6 +14,7 @@ have a bounded number of distinct rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -105,17 +106,34 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def _overlaps(start: int, end: int, spans) -> bool:
-    return any(a < end and start < b for _, a, b in spans)
+def _joined(spans) -> tuple[list[int], list[int]]:
+    """Starts and ends of what ``spans`` cover, in order and apart from each other."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted((a, b) for _, a, b in spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def _overlaps(start: int, end: int, covered: tuple[list[int], list[int]]) -> bool:
+    """Whether ``start:end`` meets what is covered: of the stretches before ``end``, the last."""
+    at = bisect_left(covered[0], end) - 1
+    return at >= 0 and covered[1][at] > start
 
 
 def candidates(text: str, known) -> list[tuple[int, int]]:
     """Spans that may be secrets: long runs with letters and digits, outside known spans."""
     if not _DIGIT.search(text):
         return []
+    covered = _joined(known)
     return [
         match.span() for match in _CANDIDATE.finditer(text)
-        if _DIGIT.search(match[0]) and not match[0].isdigit() and not _overlaps(*match.span(), known)
+        if _DIGIT.search(match[0]) and not match[0].isdigit()
+        and not _overlaps(*match.span(), covered)
     ]
 
 

@@ -126,3 +126,21 @@ def test_query(spark):
             sum(k == kind for k, _, _ in base) for kind in PATTERNS
         ]
         assert row.spans == listed or row.spans.startswith(listed)
+
+
+def test_overlaps_equal_the_plain_test_and_take_linear_time():
+    import time
+
+    chance = random.Random(4)
+    for _ in range(300):
+        known = [(0, a, a + chance.randint(1, 9)) for a in (chance.randint(0, 60) for _ in range(8))]
+        covered = pii._joined(known)
+        for start in range(65):
+            for end in (start + 1, start + 6):
+                assert pii._overlaps(start, end, covered) == any(
+                    a < end and start < b for _, a, b in known)
+    text = " ".join(f"user{i}@mail{i}.example.com key4Zr8Qm2Xw6Tp{i:08d}Lk" for i in range(60_000))
+    began = time.process_time()
+    known = [(0, m.start(), m.end()) for m in re.finditer(PATTERNS["email"], text)]
+    assert len(pii.candidates(text, known)) >= 60_000
+    assert time.process_time() - began < 20
