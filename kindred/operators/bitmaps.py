@@ -79,7 +79,8 @@ class LabelIndex:
     def memberships(self) -> DataFrame:
         """``dimension, label, id``: the sets as rows."""
         rows = _set_numbers(self.bitmaps)
-        return join_per_key(rows, self.numbers, ["number"]).select("dimension", "label", "id")
+        joined = join_per_key(rows, self.numbers, ["number"], large=True)
+        return joined.select("dimension", "label", "id")
 
     def cross_counts(self, first: str, second: str) -> DataFrame:
         """``first, second, n``: products that carry a label of one dimension and of the other.
@@ -119,7 +120,7 @@ def label_index(memberships: DataFrame, numbers: DataFrame | None = None) -> Lab
     """
     if numbers is None:
         numbers = number_products(memberships, "id")
-    rows = join_per_key(memberships, numbers, ["id"])
+    rows = join_per_key(memberships, numbers, ["id"], large=True)
     bitmaps = rows.groupBy(
         "dimension", "label", F.bitmap_bucket_number("number").alias("bucket")
     ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))

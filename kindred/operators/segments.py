@@ -17,6 +17,7 @@ from kindred.functions.histograms import (
     season_bucket,
 )
 from kindred.functions.text import cluster_label, cluster_relabel, fold_accents
+from kindred.operators.skew import join_large
 from kindred.operators.tables import notnull_filter
 from kindred.operators.taxonomy import labelled_array, note_levels, taxonomy_lookup
 
@@ -61,7 +62,7 @@ def item_labels(
     grouped = taxonomy_lookup(voted, accords, "top_accord", "accord_group")
     grouped = taxonomy_lookup(grouped, accord_families, "accord_group", "family")
     levels = note_levels(items, notes, note_families, "id", "middle_notes")
-    return grouped.join(levels, "id", "left")
+    return join_large(grouped, levels, ["id"], "left")
 
 
 def label_sets(labels: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -124,7 +125,7 @@ def segment_with_category(
     The category is appended to the cluster as it stands and trimmed afterwards;
     a blank category leaves a trailing underscore.
     """
-    branded = segments.select("id", "cluster").join(labels.select("id", "brand"), "id", "left")
+    branded = join_large(segments.select("id", "cluster"), labels.select("id", "brand"), ["id"], "left")
     listed = notnull_filter(left_join_category(branded, "brand", categories), "category")
     return listed.select(
         "id",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.functions.histograms import count_histogram
+from kindred.operators.skew import join_large
 from kindred.operators.taxonomy import (
     ACCORD_FAMILIES,
     taxonomy_table,
@@ -436,7 +437,7 @@ class Views:
             F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"),
             F.lower("p_type").alias("for_gender"),
         )
-        return lines.groupBy("id").agg(*histograms).join(notes, "id").join(parts, "id")
+        return join_large(join_large(lines.groupBy("id").agg(*histograms), notes, ["id"]), parts, ["id"])
 
     @cached_property
     def stored_items(self) -> DataFrame:
@@ -460,7 +461,7 @@ class Views:
                 for name, test in (("top_notes", line <= 2), ("base_notes", line >= 4))
             ])
         )
-        return materialise(self.stored_items.join(lists, "id"))
+        return materialise(join_large(self.stored_items, lists, ["id"]))
 
     @cached_property
     def note_taxonomy(self) -> DataFrame:
