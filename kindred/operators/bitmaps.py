@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.operators.numbering import number_rows
-from kindred.operators.skew import join_per_key
+from kindred.operators.skew import join_large, join_per_key
 from kindred.session import materialise
 
 # Fixed value: bits of a bitmap of the built-in functions.
@@ -74,7 +74,7 @@ class LabelIndex:
             F.bitmap_and_agg("bits").alias("bits"), F.count(F.lit(1)).alias("met")
         ).where(F.col("met") == len(wanted))
         found = _set_numbers(common.select("bucket", "bits"))
-        return found.join(self.numbers, "number").select("id")
+        return join_large(found, self.numbers, ["number"]).select("id")
 
     def memberships(self) -> DataFrame:
         """``dimension, label, id``: the sets as rows."""

@@ -35,3 +35,9 @@ def test_label_index_broadcasts_neither_memberships_nor_numbers(memberships, mon
     found = index.memberships()
     assert built[-1] == joins(found) == ["SortMergeJoin"]
     assert rows(found, "dimension", "label", "id") == sorted(MEMBERSHIPS[:4])
+
+
+def test_intersection_broadcasts_no_numbers(memberships):
+    found = B.label_index(memberships).intersection({"d": "l", "e": "l"})
+    assert joins(found) == ["SortMergeJoin"]
+    assert rows(found, "id") == [(2,)]
