@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kindred.operators.bitmaps import distinct_counts
 from kindred.operators.features import distinct_labels
-from kindred.operators.skew import join_per_key
+from kindred.operators.skew import join_large, join_per_key
 from kindred.operators.taxonomy import labelled, labelled_array
 from kindred.session import local_table
 
@@ -79,7 +79,7 @@ def _stack(members: DataFrame, labels: DataFrame, features: Mapping[str, str | C
             pairs.append(F.array(labelled(column, feature)))
     empty = F.array().cast("array<struct<feature:string,label:string>>")
     stacked = F.concat(*[F.coalesce(pair, empty) for pair in pairs])
-    joined = members.select("id", "cluster").distinct().join(labels, "id", "inner")
+    joined = join_large(members.select("id", "cluster").distinct(), labels, ["id"])
     return joined.select("cluster", F.explode(stacked).alias("_pair")).select("_pair.*", "cluster")
 
 
@@ -157,11 +157,12 @@ def representative_items(
     ]
     # a label counts once for a product, however often a list repeats it
     described = labels.select("id", F.array_distinct(F.concat(*pairs)).alias("_pairs"))
-    candidates = members.select("id", "cluster").distinct().join(described, "id")
+    candidates = join_large(members.select("id", "cluster").distinct(), described, ["id"])
     carried = candidates.select("id", "cluster", F.explode("_pairs").alias("_pair")).select(
         "id", "cluster", "_pair.feature", "_pair.label"
     )
-    met = join_per_key(carried, wanted, ["cluster", "feature", "label"])
+    # a semi join: only the wanted rows, a few per cluster, can be broadcast
+    met = join_per_key(carried, wanted, ["cluster", "feature", "label"], "left_semi")
     counted = met.groupBy("id", "cluster").agg(F.count(F.lit(1)).alias("_met"))
     return counted.where(F.col("_met") == needed).select("id", "cluster")
 
@@ -175,4 +176,4 @@ def representative_flag(
     """
     keys = ["id"] if global_flag else ["id", "cluster"]
     flags = representatives.select(*keys).distinct().withColumn("rank", F.lit(1))
-    return members.join(flags, keys, "left")
+    return join_large(members, flags, keys, "left")

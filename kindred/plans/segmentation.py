@@ -21,6 +21,7 @@ from kindred.operators.segments import (
     rule_segments,
     segment_with_category,
 )
+from kindred.operators.skew import join_large
 
 
 @dataclass(frozen=True)
@@ -81,7 +82,7 @@ def representative_pipeline(
     described = labels.select(
         "id", "family", "sillage_label", "longevity_label", "day_night", *lists
     )
-    return flagged.join(described, "id", "left").select(
+    return join_large(flagged, described, ["id"], "left").select(
         "id",
         "brand",
         "cluster",

@@ -5,6 +5,9 @@ import re
 import pytest
 
 from kindred.operators import bitmaps as B
+from kindred.operators import profiles as P
+from kindred.operators import segments as S
+from kindred.plans import segmentation
 from kindred.session import materialise
 
 
@@ -41,3 +44,26 @@ def test_intersection_broadcasts_no_numbers(memberships):
     found = B.label_index(memberships).intersection({"d": "l", "e": "l"})
     assert joins(found) == ["SortMergeJoin"]
     assert rows(found, "id") == [(2,)]
+
+
+def test_representatives_broadcast_only_the_wanted_labels(spark):
+    names = ["for_gender", "accord_group", "day_night", "season", "sillage_label", "longevity_label", "family"]
+    labels = materialise(spark.createDataFrame(
+        [(i, ["n"], *(["x"] * len(names))) for i in (1, 2, None)],
+        "id int, note_groups array<string>, " + ", ".join(f"{name} string" for name in names),
+    ))
+    members = materialise(spark.createDataFrame(
+        [(1, "b", "c", "k"), (2, "b", "c", "k"), (None, "b", "c", "k")],
+        "id int, brand string, cluster string, category string",
+    ))
+    profile = materialise(P.profile_long(members, labels))
+    output = segmentation.representative_pipeline(members, labels, profile)
+    assert rows(output, "id", "rank", "sillage") == [(1, 1, "x"), (2, 1, "x"), (None, None, None)]
+    broadcast = re.findall(r"BroadcastHashJoin \[[^\]]*\], \[[^\]]*\], (\w+), (\w+)", plan(output))
+    # labels wanted of a cluster, and the few required features that choose them
+    assert broadcast and {side for _, side in broadcast} == {"BuildRight"}
+    assert joins(output).count("SortMergeJoin") == 3
+    assert "SortMergeJoin" in joins(P.profile_long(members, labels))
+    categories = spark.createDataFrame([("b", "k")], "brand string, category string")
+    segments = members.select("id", "cluster")
+    assert "SortMergeJoin" in joins(S.segment_with_category(segments, members.select("id", "brand"), categories))
