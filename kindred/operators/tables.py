@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.operators.skew import join_per_key
+from kindred.operators.skew import join_large, join_per_key
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def left_join_alias(
 
 def feature_table_join(tables: Sequence[DataFrame], on: str) -> DataFrame:
     """Inner join of feature tables on the product id."""
-    return reduce(lambda left, right: left.join(right, on, "inner"), tables)
+    return reduce(lambda left, right: join_large(left, right, [on]), tables)
 
 
 def union_all(tables: Sequence[DataFrame]) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from kindred.operators import bitmaps as B
 from kindred.operators import profiles as P
 from kindred.operators import segments as S
+from kindred.operators import tables as T
 from kindred.plans import segmentation
 from kindred.session import materialise
 
@@ -67,3 +68,12 @@ def test_representatives_broadcast_only_the_wanted_labels(spark):
     categories = spark.createDataFrame([("b", "k")], "brand string, category string")
     segments = members.select("id", "cluster")
     assert "SortMergeJoin" in joins(S.segment_with_category(segments, members.select("id", "brand"), categories))
+
+
+def test_feature_tables_are_not_broadcast(spark):
+    tables = [
+        materialise(spark.createDataFrame([(1, n), (2, n), (None, n)], f"id int, f{n} int")) for n in range(3)
+    ]
+    joined = T.feature_table_join(tables, "id")
+    assert joins(joined) == ["SortMergeJoin"] * 2
+    assert rows(joined, "*") == [(1, 0, 1, 2), (2, 0, 1, 2)]
