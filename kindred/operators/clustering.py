@@ -8,7 +8,10 @@ are fitted in the same passes.
 The medoid search rests on the triangle inequality: a member at distance d from a member
 whose summed distance over weight W is s has a summed distance of at least ``|s - W d|``.
 A few members of the lowest bounds are tried in linear passes, their sums bound all others,
-and only members whose bound stays below the best sum are compared with their cluster.
+and only members whose bound stays below the best sum are compared with their cluster. Where
+distances hardly differ, as with many axes, a second bound decides: by Hölder's inequality the
+sum of distances is at least ``A ** 1.5 / Q ** 0.5``, A and Q being the sums of their second and
+fourth powers, which follow for every member from the moments of its cluster.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ DECIMALS = 9
 # Members of a cluster that a pass tries, and pairs that are compared without trying any first.
 TRIES = 8
 PAIRS_AT_ONCE = 20_000_000
+# Numbers that the moments of all clusters may take together; beyond, the other bounds are left.
+MOMENT_NUMBERS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -162,13 +167,64 @@ def _summaries(points: DataFrame, fits: Mapping[int, Medoids]) -> dict[tuple[int
     }
 
 
+@dataclass(frozen=True)
+class Moments:
+    """Weighted sums over a cluster's members, as seen from ``center``: of the vectors y, of
+    |y|^2, |y|^4 and |y|^2 y, and of the products of any two axes."""
+
+    center: np.ndarray
+    weight: float
+    first: np.ndarray
+    square: float
+    fourth: float
+    third: np.ndarray
+    products: np.ndarray
+
+    @staticmethod
+    def sums(vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The sums of ``vectors``, already centered, as one row that adds up."""
+        squares = (vectors * vectors).sum(axis=1)
+        shares = weights * squares
+        return np.concatenate([
+            [weights.sum(), shares.sum(), shares @ squares], weights @ vectors, shares @ vectors,
+            (vectors.T @ (weights[:, None] * vectors)).ravel(),
+        ])
+
+    @classmethod
+    def of(cls, center: np.ndarray, row: np.ndarray) -> Moments:
+        n = len(center)
+        return cls(
+            center, float(row[0]), row[3 : 3 + n], float(row[1]), float(row[2]),
+            row[3 + n : 3 + 2 * n], row[3 + 2 * n :].reshape(n, n),
+        )
+
+    def bounds(self, points: np.ndarray) -> np.ndarray:
+        """Least summed distance of ``points``; 0 where numbers are too large to tell."""
+        y = points - self.center
+        with np.errstate(all="ignore"):
+            a = (y * y).sum(axis=1)
+            second = self.weight * a + self.square - 2 * (y @ self.first)
+            spread = 4 * ((y @ self.products) * y).sum(axis=1)
+            plain = self.weight * a * a + self.fourth + spread + 2 * a * self.square
+            mixed = 4 * a * (y @ self.first) + 4 * (y @ self.third)
+            # what rounding may have taken from the fourth powers
+            fourth = plain - mixed + 1e-9 * (np.abs(plain) + np.abs(mixed))
+            least = np.maximum(second, 0) ** 1.5 / np.sqrt(fourth) * (1 - 1e-9)
+        return np.where(np.isfinite(least), least, 0.0)
+
+
 @dataclass
 class Search:
-    """What is known about one cluster's medoid: tried members, their sums, and the best one."""
+    """What is known about one cluster's medoid: tried members, their sums, and the best one.
+
+    ``left`` is the number of members that could still be the medoid when last counted.
+    """
 
     summary: Summary
     vectors: np.ndarray
     sums: np.ndarray
+    moments: Moments | None = None
+    left: int | None = None
 
     @property
     def limit(self) -> float:
@@ -182,7 +238,7 @@ class Search:
         for vector, total in zip(self.vectors, self.sums, strict=True):
             gap = weight * _distances(points, vector[None])[:, 0]
             away = np.maximum(away, np.abs(total - gap))
-        return away
+        return away if self.moments is None else np.maximum(away, self.moments.bounds(points))
 
     def tried(self, vectors: Sequence, sums: Sequence[float]) -> None:
         self.vectors = np.vstack([self.vectors, np.array(vectors, dtype=np.float64)])
@@ -209,6 +265,8 @@ def _lowest_bounds(
                     still = bounds <= search.limit
                     order = np.argsort(bounds[still], kind="stable")[:TRIES]
                     chosen = mine[still][order]
+                    if not len(chosen):
+                        continue
                     yield pd.DataFrame({
                         "k": k, "label": label, "left": still.sum(), "place": np.arange(len(chosen)),
                         "bound": bounds[still][order], "vector": list(batch["vector"].iloc[chosen]),
@@ -229,6 +287,43 @@ def _lowest_bounds(
     return left, tries
 
 
+def _add_moments(
+    points: DataFrame, fits: Mapping[int, Medoids], searches: Mapping[tuple[int, int], Search]
+) -> bool:
+    """Add the moments of every cluster to ``searches``; one linear pass, a row per task and cluster.
+
+    Returns False, and adds none, where they would take more than ``MOMENT_NUMBERS``.
+    """
+    axes = max(len(search.summary.mean) for search in searches.values())
+    if len(searches) * (axes + 2) ** 2 > MOMENT_NUMBERS:
+        return False
+    centers = {key: np.array(search.summary.mean) for key, search in searches.items()}
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            if not len(batch):
+                continue
+            matrix, weights = _matrix(batch["vector"]), batch["weight"].to_numpy()
+            for k, medoids in fits.items():
+                labels, _ = medoids.nearest(matrix)
+                for label in np.unique(labels):
+                    key, mine = (k, int(label)), labels == label
+                    row = Moments.sums(matrix[mine] - centers[key], weights[mine])
+                    sums[key] = sums[key] + row if key in sums else row
+        for (k, label), row in sums.items():
+            yield pd.DataFrame({"k": [k], "label": [label], "sums": [row]})
+
+    rows = points.select("vector", "weight").mapInPandas(add_up, "k int, label int, sums array<double>")
+    placed = rows.select("k", "label", F.posexplode("sums").alias("place", "x"))
+    added = placed.groupBy("k", "label", "place").agg(F.sum("x").alias("x"))
+    lists = added.groupBy("k", "label").agg(F.sort_array(F.collect_list(F.struct("place", "x"))).alias("sums"))
+    for row in lists.collect():
+        key = row["k"], row["label"]
+        searches[key].moments = Moments.of(centers[key], np.array([each["x"] for each in row["sums"]]))
+    return True
+
+
 def _try(
     points: DataFrame, fits: Mapping[int, Medoids], searches: Mapping[tuple[int, int], Search],
     tries: Mapping[tuple[int, int], list],
@@ -323,14 +418,18 @@ def kmedoids_update(
     ``points`` are weighted points. Members are ruled out by the bounds of :class:`Search`,
     at first those of the current medoid and of the mean; while more pairs than
     ``PAIRS_AT_ONCE`` are left and trying members still rules out more pairs than it compares,
-    ``TRIES`` more of a cluster are tried. The rest are compared with all members in tiles, so
+    ``TRIES`` more of a cluster are tried, and when it no longer does, the clusters' moments
+    bound them as well. The rest are compared with all members in tiles, so
     the result is exact whatever the bounds do. Ties go to the smaller id.
     """
     searches = open_searches(points, fits)
     narrow(points, fits, searches)
     sizes = local_table(
         points.sparkSession,
-        [(k, label, each.summary.members, each.summary.members) for (k, label), each in searches.items()],
+        [
+            (k, label, each.summary.members if each.left is None else max(1, each.left), each.summary.members)
+            for (k, label), each in searches.items()
+        ],
         "k int, label int, lefts bigint, rights bigint",
     )
     candidates, members = _members(points, fits, searches), _members(points, fits)
@@ -355,19 +454,27 @@ def narrow(
     points: DataFrame, fits: Mapping[int, Medoids], searches: Mapping[tuple[int, int], Search],
     pairs_at_once: int | None = None,
 ) -> list[int]:
-    """Try members while it pays; returns the pairs left to compare before each round."""
+    """Try members while it pays, then use the moments; returns the pairs left before each round."""
     most = PAIRS_AT_ONCE if pairs_at_once is None else pairs_at_once
     pairs: list[int] = []
     if sum(each.summary.members ** 2 for each in searches.values()) <= most:
         return pairs
+    asked = False
     while True:
         left, tries = _lowest_bounds(points, fits, searches)
+        for key, n in left.items():
+            searches[key].left = n
         pairs.append(sum(n * searches[key].summary.members for key, n in left.items()))
         # distances that another round takes, to the tried members and to the new ones
         cost = sum(each.summary.members * (len(each.sums) + TRIES) for each in searches.values())
-        if pairs[-1] <= most or (len(pairs) > 1 and pairs[-2] - pairs[-1] < cost):
+        if pairs[-1] <= most:
+            return pairs
+        if len(pairs) == 1 or pairs[-2] - pairs[-1] >= cost:
+            _try(points, fits, searches, tries)
+        elif asked or not _add_moments(points, fits, searches):
             return pairs
-        _try(points, fits, searches, tries)
+        else:
+            asked = True
 
 
 def farthest_first(points: DataFrame, count: int) -> list[tuple]:

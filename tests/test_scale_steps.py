@@ -378,3 +378,36 @@ def test_fit_is_repeatable(spark):
     one = C.kmedoids_fit(points, (4,))[4]
     two = C.kmedoids_fit(points.repartition(7), (4,), chunk_rows=32)[4]
     assert one.medoids.ids == two.medoids.ids and one.inertia == pytest.approx(two.inertia)
+
+
+def test_moments_rule_out_members_when_distances_hardly_differ(spark, monkeypatch):
+    """Many axes: distances concentrate and tried members bound nothing; moments do."""
+    rng = np.random.default_rng(11)
+    data = rng.normal(size=(600, 40))
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    data[:4] = rng.normal(size=(4, 40)) * 0.05  # near the middle
+    vectors = points_of(spark, data.tolist()).unionByName(points_of(spark, data[:200].tolist()))
+    points = C.weighted_points(vectors).repartition(5)
+    fits = {1: C.Medoids.of([(9, data[9].tolist())])}
+    searches = C.open_searches(points, fits)
+    pairs = C.narrow(points, fits, searches, pairs_at_once=0)
+    weights = np.where(np.arange(600) < 200, 2.0, 1.0)
+    costs = C._distances(data, data) @ weights
+    assert (searches[1, 0].bounds(data) <= costs + 1e-6).all()
+    assert pairs[0] == 600 * 600 and pairs[-1] <= 600 * 6 and searches[1, 0].left <= 6
+    monkeypatch.setattr(C, "PAIRS_AT_ONCE", 0)
+    found = C.kmedoids_update(points, fits).collect()
+    assert [(row["label"], row["point_id"]) for row in found] == [(0, costs.argmin())]
+    assert found[0]["cost"] == pytest.approx(costs.min())
+
+
+def test_moments_never_exceed_the_sums():
+    rng = np.random.default_rng(3)
+    for data in (rng.normal(size=(80, 3)), np.zeros((5, 2)), rng.normal(size=(50, 4)) ** 9,
+                 rng.normal(size=(40, 2)) + 1e6, rng.normal(size=(30, 2)) * 1e90):
+        weights = rng.integers(1, 9, len(data)).astype(float)
+        center = weights @ data / weights.sum()
+        moments = C.Moments.of(center, C.Moments.sums(data - center, weights))
+        with np.errstate(all="ignore"):
+            sums = C._distances(data, data) @ weights
+        assert (moments.bounds(data) <= sums * (1 + 1e-9)).all()

@@ -659,7 +659,8 @@ def kmedoids_update(v: Views) -> DataFrame:
     )
     medoids = _fixed_medoids(v)
     names = F.array(*[F.lit(name) for name in medoids.ids])
-    moved = C.kmedoids_update(C.weighted_points(points), {len(medoids.ids): medoids})
+    weighted = materialise(C.weighted_points(points))  # read once for every pass
+    moved = C.kmedoids_update(weighted, {len(medoids.ids): medoids})
     return moved.select(
         F.element_at(names, F.col("label") + 1).alias("medoid_id"), "point_id",
         F.round("cost", 4).alias("cost"),
