@@ -178,18 +178,17 @@ def discriminant(
     return Model(density(low), density(high), 0.5)
 
 
-def train(
+def labelled_vectors(
     docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
     text_col: str = "text",
-) -> Model:
-    """Fit on every labelled text of the training folds; nothing is sampled.
+) -> DataFrame:
+    """``vector, label`` of every labelled text of the training folds.
 
-    A task adds up the moments of its texts per class; the driver sees one row per task
-    and class. A text whose id is labelled counts as often as it is repeated. Without
-    labels every score is 0.5, with one class alone it is the share of label 1.
+    Only the short vectors are shuffled to their labels, the texts are not. That shuffle
+    stays when the labels are few enough to broadcast: without it the step that measures
+    and the one that reads the vectors share a stage, so that a task holds two workers, and
+    idle ones stay with the executor.
     """
-    width = len(NAMES)
-    found = training_labels(labels, label, id_col)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def measure(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -198,12 +197,26 @@ def train(
             id_col: part.column(0), "vector": pa.array(list(vectors), pa.list_(pa.float64())),
         })
 
-    # the texts are not shuffled to their labels, only their short vectors are
-    rows = map_slices(
+    found = training_labels(labels, label, id_col).hint("merge")
+    return map_slices(
         docs.where(~held_out(id_col)).select(id_col, text_col), text_col, measure,
         f"`{id_col}` {kind}, vector array<double>",
     ).join(found, id_col).select("vector", "label")
 
+
+def train(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
+    text_col: str = "text",
+) -> Model:
+    """Fit on every labelled text of the training folds; nothing is sampled.
+
+    A task adds up the moments of its texts per class; the driver sees one row per task
+    and class. A text whose id is labelled counts as often as it is repeated. Without
+    labels every score is 0.5, with one class alone it is the share of label 1.
+    """
+    width = len(NAMES)
+    rows = labelled_vectors(docs, labels, label, id_col, text_col)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, 1 + width + width * width))
         for batch in batches:

@@ -9,6 +9,7 @@ from kindred.llm import quality, toxicity
 from kindred.llm.features import words_of
 from kindred.llm.folds import held_out
 from kindred.llm.queries import QUERIES
+from kindred.session import materialise
 
 FOLDER = "/root/testdata/sf0.01"
 LARGER = "/root/testdata/sf0.1"
@@ -106,3 +107,31 @@ def test_log_density_difference_equals_the_formula():
         logs.append(np.log(prior) - 0.5 * np.log(np.linalg.det(cov))
                     - 0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d))
     assert np.allclose(model.scores(point), 1 / (1 + np.exp(logs[0] - logs[1])))
+
+
+def test_quality_training_shuffles_vectors_to_few_labels(spark, monkeypatch):
+    # two steps in one stage would hold two workers for each task
+    docs = materialise(spark.createDataFrame(
+        [(i, f"word {i}") for i in (*range(40), 7)] + [(None, "word")], "doc_id bigint, text string"
+    ))
+    labels = materialise(spark.createDataFrame(
+        [(i, i % 2) for i in range(40)], "doc_id bigint, quality int"
+    ))
+    plans, kind = [], type(docs)
+    collect = kind.collect
+
+    def collected(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return collect(df)
+
+    monkeypatch.setattr(kind, "collect", collected)
+    model = quality.train(docs, labels)
+    _, between, _ = plans[-1].split("MapInArrow")
+    assert "Exchange hashpartitioning" in between and "BroadcastExchange" not in plans[-1]
+    learned = [i for i in (*range(40), 7) if zlib.crc32(str(i).encode()) % 5]
+    vectors = quality.statistics(pa.array([f"word {i}" for i in learned]))
+    odd = np.array(learned) % 2 == 1
+    plain = quality.discriminant(*(
+        quality.Moments(len(x), x.sum(0), x.T @ x) for x in (vectors[~odd], vectors[odd])
+    ))
+    assert np.allclose(model.scores(vectors), plain.scores(vectors))
